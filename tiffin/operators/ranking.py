@@ -13,9 +13,11 @@ bounds fall; they only balance the work.
 
 The sliced rows are read twice (for the offsets and for the answer), and two
 range exchanges would each sample their own bounds. The sliced rows are
-therefore written once with a reliable ``checkpoint()`` to the shared folder
-in ``spark.checkpoint.dir``: both reads see the same slices, and a lost
-executor re-reads the checkpoint instead of re-slicing.
+therefore wrapped in a reliable ``checkpoint()`` (lazy): both reads share one
+RDD and so one range shuffle with one set of bounds, and after the first job
+the rows are saved to the shared folder in ``spark.checkpoint.dir``, so a lost
+executor re-reads them instead of re-slicing. Before that, a lost partition
+is recomputed through the same shuffle dependency, hence the same slices.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ def _slices(df: DataFrame, slices: int | None) -> int:
 
 def _materialize(df: DataFrame) -> DataFrame:
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return df.checkpoint(eager=False)
 
 
 def _null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
@@ -47,6 +49,28 @@ def _null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]
     return cond
 
 
+def hot_groups(df: DataFrame, group_cols: list[str], slices: int) -> list[tuple]:
+    """Groups holding more rows than an average slice (count * slices > total).
+
+    Counted with a partial aggregate; fewer than ``slices`` groups can pass the
+    test, so the list brought to the driver is bounded by the slice count.
+    """
+    counts = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    hot = counts.filter(F.col("_n") * slices > total).select(*group_cols)
+    return [tuple(r) for r in hot.collect()]
+
+
+def _in_groups(group_cols: list[str], keys: list[tuple]) -> Column:
+    cond = F.lit(False)
+    for key in keys:
+        match = F.lit(True)
+        for c, v in zip(group_cols, key):
+            match = match & F.col(c).eqNullSafe(F.lit(v))
+        cond = cond | match
+    return cond
+
+
 def sequence_within(
     df: DataFrame,
     group_cols: list[str],
@@ -56,6 +80,30 @@ def sequence_within(
 ) -> DataFrame:
     """Add ``out_col`` = 1-based ROW_NUMBER within ``group_cols`` by ``order_cols``.
 
+    Hot groups (see :func:`hot_groups`) are numbered by :func:`sequence_by_slices`,
+    which splits a group across tasks; every other group is smaller than an
+    average slice and is numbered by a plain ``row_number`` window (one
+    shuffle). With no hot group the plan is just the window.
+    """
+    n = _slices(df, slices)
+    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
+    hot = hot_groups(df, group_cols, n)
+    if not hot:
+        return df.withColumn(out_col, F.row_number().over(w).cast("long"))
+    is_hot = _in_groups(group_cols, hot)
+    cold = df.filter(~is_hot).withColumn(out_col, F.row_number().over(w).cast("long"))
+    return cold.unionByName(sequence_by_slices(df.filter(is_hot), group_cols, order_cols, out_col, n))
+
+
+def sequence_by_slices(
+    df: DataFrame,
+    group_cols: list[str],
+    order_cols: list[str],
+    out_col: str,
+    slices: int | None = None,
+) -> DataFrame:
+    """ROW_NUMBER within ``group_cols`` that splits every group across tasks.
+
     ``group_cols + order_cols`` must identify a row (add the table key as the
     last order column). Plan: one range exchange on the full key, a sort within
     each slice, the row position inside the slice, and a per-(group, slice)

@@ -160,38 +160,46 @@ def _dim_users_as_written(users: DataFrame, orders: DataFrame, slices: int | Non
     return _with_no_order_defaults(joined).select(*DIM_USERS_COLUMNS)
 
 
-def user_context(users: DataFrame, orders: DataFrame, slices: int | None = None) -> DataFrame:
-    """One row per customer who is a user or has a delivered order: the
+def churn_counts(orders: DataFrame) -> DataFrame:
+    """Delivered orders and SLA breaches per customer (a partial aggregate)."""
+    return (
+        cu.delivered_orders(orders)
+        .groupBy("customer_id")
+        .agg(
+            F.count(F.lit(1)).alias("delivered_orders"),
+            cu.count_true(F.col("is_sla_breach") == True).alias("sla_breaches"),  # noqa: E712
+        )
+    )
+
+
+def user_context(dim: DataFrame, orders: DataFrame) -> DataFrame:
+    """One row per customer in dim_users or with a delivered order: the
     dim_users columns (NULL for non-users) and the churn tier (NULL without a
-    delivered order). Joined once to orders, it stands for the model's two
-    customer_id joins (dim_users and churn_risk)."""
-    scores = user_scores(orders, slices)
-    marked = users.select("customer_id").withColumn("_is_user", F.lit(True))
-    ctx = scores.join(marked, "customer_id", "full")
-    is_user = F.col("_is_user").isNotNull()
-    dims = _with_no_order_defaults(ctx)
-    dims = dims.withColumns({c: F.when(is_user, F.col(c)) for c in USER_CONTEXT_COLUMNS})
+    delivered order). Both inputs are unique on customer_id, so orders join it
+    once instead of joining dim_users and the churn table separately."""
+    ctx = dim.select("customer_id", *USER_CONTEXT_COLUMNS).join(churn_counts(orders), "customer_id", "full")
     tier = F.when(
         F.col("delivered_orders").isNotNull(),
         cu.churn_tier(F.col("customer_segment"), F.col("sla_breaches"), F.col("delivered_orders")),
     )
-    return dims.withColumn("churn_risk_tier", tier).select("customer_id", *USER_CONTEXT_COLUMNS, "churn_risk_tier")
+    return ctx.withColumn("churn_risk_tier", tier).select("customer_id", *USER_CONTEXT_COLUMNS, "churn_risk_tier")
 
 
-def fact_user_metrics(
-    users: DataFrame, orders: DataFrame, fx: DataFrame, grain: str = CONTRACT, slices: int | None = None
-) -> DataFrame:
+def fact_user_metrics(orders: DataFrame, dim: DataFrame, fx: DataFrame, grain: str = CONTRACT) -> DataFrame:
+    """Orders with user context, churn tier and USD amounts; ``dim`` is dim_users
+    of the same grain."""
     if grain == AS_WRITTEN:
-        return _fact_user_metrics_as_written(users, orders, fx, slices)
-    ctx = user_context(users, orders, slices)
-    joined = orders.join(ctx, "customer_id", "left").withColumn(
+        return _fact_user_metrics_as_written(orders, dim, fx)
+    joined = orders.join(user_context(dim, orders), "customer_id", "left").withColumn(
         "churn_risk_tier", F.coalesce("churn_risk_tier", F.lit("LOW"))
     )
     return cu.op_fx_convert(joined, fx).select(*FACT_USER_METRICS_COLUMNS)
 
 
-def _fact_user_metrics_as_written(users: DataFrame, orders: DataFrame, fx: DataFrame, slices: int | None) -> DataFrame:
-    dim = _dim_users_as_written(users, orders, slices).select("customer_id", *USER_CONTEXT_COLUMNS)
+def _fact_user_metrics_as_written(orders: DataFrame, dim: DataFrame, fx: DataFrame) -> DataFrame:
+    """The SQL's joins against a dim_users with one row per delivered order:
+    churn counts and order rows are both multiplied by that fan-out."""
+    dim = dim.select("customer_id", *USER_CONTEXT_COLUMNS)
     delivered = cu.delivered_orders(orders).select("customer_id", "is_sla_breach")
     churn = (
         delivered.join(dim.select("customer_id", "customer_segment"), "customer_id", "left")
@@ -207,6 +215,20 @@ def _fact_user_metrics_as_written(users: DataFrame, orders: DataFrame, fx: DataF
     return cu.op_fx_convert(joined, fx).select(*FACT_USER_METRICS_COLUMNS)
 
 
+def customer_tiers(source: DataFrame, grain: str = CONTRACT, from_fact: bool = True) -> DataFrame:
+    """(customer_id, customer_segment, churn_risk_tier) as the order facts read
+    them from fact_user_metrics.
+
+    ``from_fact``: ``source`` is fact_user_metrics (distinct under the
+    contract; every row as written). Otherwise ``source`` is a
+    :func:`user_context`, which has the same rows without building the fact.
+    """
+    cols = ["customer_id", "customer_segment", "churn_risk_tier"]
+    if not from_fact:
+        return source.select(*cols)
+    return source.select(*cols).distinct() if grain == CONTRACT else source.select(*cols)
+
+
 # ---------------------------------------------------------------- order facts
 
 def _order_dimensions(orders: DataFrame, restaurants: DataFrame, couriers: DataFrame) -> DataFrame:
@@ -226,20 +248,9 @@ def _order_dimensions(orders: DataFrame, restaurants: DataFrame, couriers: DataF
     return orders.join(rest, "restaurant_id", "left").join(cour, "courier_id", "left")
 
 
-def _customer_tiers(users: DataFrame, orders: DataFrame, fx: DataFrame, grain: str, slices: int | None) -> DataFrame:
-    """(customer_id, customer_segment, churn_risk_tier) as the order facts read
-    them from fact_user_metrics: one row per customer under the contract, one
-    row per fact_user_metrics row as written."""
-    if grain == AS_WRITTEN:
-        return fact_user_metrics(users, orders, fx, AS_WRITTEN, slices).select(
-            "customer_id", "customer_segment", "churn_risk_tier"
-        )
+def _join_tiers(df: DataFrame, tiers: DataFrame, grain: str) -> DataFrame:
     # Every order with a customer_id has a fact_user_metrics row whose tier
     # defaults to LOW; an order without one matches nothing.
-    return user_context(users, orders, slices).select("customer_id", "customer_segment", "churn_risk_tier")
-
-
-def _join_tiers(df: DataFrame, tiers: DataFrame, grain: str) -> DataFrame:
     joined = df.join(tiers, "customer_id", "left")
     if grain == AS_WRITTEN:
         return joined
@@ -249,29 +260,17 @@ def _join_tiers(df: DataFrame, tiers: DataFrame, grain: str) -> DataFrame:
 
 
 def fact_orders(
-    orders: DataFrame,
-    restaurants: DataFrame,
-    couriers: DataFrame,
-    users: DataFrame,
-    fx: DataFrame,
-    grain: str = CONTRACT,
-    slices: int | None = None,
+    orders: DataFrame, restaurants: DataFrame, couriers: DataFrame, tiers: DataFrame, grain: str = CONTRACT
 ) -> DataFrame:
-    tiers = _customer_tiers(users, orders, fx, grain, slices)
+    """Wide order fact; ``tiers`` from :func:`customer_tiers`."""
     joined = _join_tiers(_order_dimensions(orders, restaurants, couriers), tiers, grain)
     return joined.select(*FACT_ORDERS_COLUMNS)
 
 
 def fact_delivery(
-    orders: DataFrame,
-    restaurants: DataFrame,
-    couriers: DataFrame,
-    users: DataFrame,
-    fx: DataFrame,
-    grain: str = CONTRACT,
-    slices: int | None = None,
+    orders: DataFrame, restaurants: DataFrame, couriers: DataFrame, tiers: DataFrame, grain: str = CONTRACT
 ) -> DataFrame:
-    tiers = _customer_tiers(users, orders, fx, grain, slices)
+    """Delivered orders against SLA and per-party averages; ``tiers`` from :func:`customer_tiers`."""
     delivered = cu.delivered_orders(orders)
     joined = _join_tiers(_order_dimensions(delivered, restaurants, couriers), tiers, grain)
     return sc.op_delivery_metrics(sc.op_party_avgs(joined)).select(*FACT_DELIVERY_COLUMNS)

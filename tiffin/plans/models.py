@@ -24,6 +24,7 @@ class Models:
     grain: str = mt.CONTRACT
     slices: int | None = None
     overrides: dict[str, DataFrame] = field(default_factory=dict)
+    materialized: set[str] = field(default_factory=set)
 
     def _get(self, name: str, make) -> DataFrame:
         if name not in self.overrides:
@@ -73,17 +74,22 @@ class Models:
     def fact_user_metrics(self) -> DataFrame:
         return self._get(
             "fact_user_metrics",
-            lambda: mt.fact_user_metrics(
-                self.stg_users(), self.stg_orders(), self.stg_exchange_rates(), self.grain, self.slices
-            ),
+            lambda: mt.fact_user_metrics(self.stg_orders(), self.dim_users(), self.stg_exchange_rates(), self.grain),
         )
 
+    def customer_tiers(self) -> DataFrame:
+        """Segment and churn tier per customer as the order facts read them:
+        from the written fact_user_metrics when it exists, else from the
+        customer-level context (same rows, without building the order fact)."""
+        if "fact_user_metrics" in self.materialized or self.grain == mt.AS_WRITTEN:
+            return mt.customer_tiers(self.fact_user_metrics(), self.grain)
+        return mt.customer_tiers(mt.user_context(self.dim_users(), self.stg_orders()), self.grain, from_fact=False)
+
     def fact_orders(self) -> DataFrame:
         return self._get(
             "fact_orders",
             lambda: mt.fact_orders(
-                self.stg_orders(), self.stg_restaurants(), self.stg_couriers(), self.stg_users(),
-                self.stg_exchange_rates(), self.grain, self.slices,
+                self.stg_orders(), self.stg_restaurants(), self.stg_couriers(), self.customer_tiers(), self.grain
             ),
         )
 
@@ -91,8 +97,7 @@ class Models:
         return self._get(
             "fact_delivery",
             lambda: mt.fact_delivery(
-                self.stg_orders(), self.stg_restaurants(), self.stg_couriers(), self.stg_users(),
-                self.stg_exchange_rates(), self.grain, self.slices,
+                self.stg_orders(), self.stg_restaurants(), self.stg_couriers(), self.customer_tiers(), self.grain
             ),
         )
 
@@ -115,22 +120,32 @@ MART_LEVELS = [
 ]
 
 
-def build(models: Models, out_dir: str) -> dict[str, str]:
-    """Register staging views and write every mart under ``out_dir``.
+def build(models: Models, out_dir: str, timings: dict[str, float] | None = None) -> dict[str, str]:
+    """Write every staging model and mart under ``out_dir``, level by level.
 
-    After a level is written, later levels read the written tables, so a lost
-    executor re-runs at most one level's tasks and no level is recomputed.
+    Staging tables are written once (several marts read stg_orders), and each
+    later level reads the written tables of the levels before it, as the
+    warehouse build does. A written table is the lineage cut: a lost executor
+    re-runs at most the current level's tasks. ``timings`` receives the
+    seconds spent writing each model.
     """
+    import time
+
     spark = models.raw.spark
-    for name in STAGING:
-        register_view(getattr(models, name)(), name)
-    paths = {}
-    for level in MART_LEVELS:
+    levels = [STAGING, *MART_LEVELS]
+    paths: dict[str, str] = {}
+    for level in levels:
         for name in level:
             path = f"{out_dir.rstrip('/')}/{name}"
-            partition_by, cluster_by = MART_LAYOUT[name]
+            partition_by, cluster_by = MART_LAYOUT.get(name, (None, ()))
+            t0 = time.perf_counter()
             write_table(getattr(models, name)(), path, partition_by, cluster_by)
+            if timings is not None:
+                timings[name] = round(time.perf_counter() - t0, 3)
             paths[name] = path
         for name in level:
             models.overrides[name] = spark.read.parquet(paths[name])
+            models.materialized.add(name)
+    for name in STAGING:
+        register_view(models.overrides[name], name)
     return paths

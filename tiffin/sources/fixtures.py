@@ -169,22 +169,32 @@ def _user_attributes(u: Column, nation_city: Column) -> dict[str, Column]:
     }
 
 
+def _event_name_table(spark: SparkSession) -> DataFrame:
+    """The fixed (event_type, slot) -> (event_name, page_name) table: 20 rows."""
+    rows = [(t, i, name, page) for (t, i), (name, page) in EVENT_NAMES.items()]
+    return spark.createDataFrame(rows, "event_type string, _slot long, event_name string, page_name string")
+
+
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = read_table(spark, sf_dir, "events")
+    # Names come from a broadcast lookup join rather than a CASE chain, so the
+    # optimizer cannot inline a 20-branch expression into every later filter.
+    events = read_table(spark, sf_dir, "events").withColumn("_slot", F.col("event_id") % 4)
     nation = _nation_names(read_table(spark, sf_dir, "nation"), "_nk", "_city")
+    names = F.broadcast(_event_name_table(spark))
     e, u = F.col("event_id"), F.col("user_id")
-    slot = F.concat_ws(":", F.col("event_type"), (e % 4).cast("string"))
-    names = {f"{t}:{i}": v[0] for (t, i), v in EVENT_NAMES.items()}
-    pages = {f"{t}:{i}": v[1] for (t, i), v in EVENT_NAMES.items()}
-    mapped = events.withColumn("_nk", u % 4).join(F.broadcast(nation), "_nk", "left")
+    mapped = (
+        events.join(names, ["event_type", "_slot"], "left")
+        .withColumn("_nk", u % 4)
+        .join(F.broadcast(nation), "_nk", "left")
+    )
     attrs = _user_attributes(u, F.col("_city"))
     return mapped.select(
         e.alias("event_id"),
         (u * 1000 + F.dayofmonth("ts")).cast("long").alias("session_id"),
         u.alias("user_id"),
         F.col("ts").alias("event_timestamp"),
-        _case(slot, names).alias("event_name"),
-        _case(slot, pages).alias("page_name"),
+        "event_name",
+        "page_name",
         attrs["channel"].alias("channel"),
         attrs["campaign"].alias("campaign"),
         attrs["device"].alias("device"),

@@ -1,8 +1,8 @@
 """Sinks: staging models as temporary views, marts as Parquet tables.
 
 Day-partitioned marts are written with ``partitionBy(date)`` so date filters
-prune folders, and each day's rows are range-clustered on the model's cluster
-keys and sorted, so Parquet min/max statistics let scans skip row groups.
+prune folders, and rows are sorted within each task on (date, cluster keys),
+so Parquet min/max statistics let scans skip row groups.
 """
 
 from __future__ import annotations
@@ -27,14 +27,16 @@ def write_table(
 ) -> None:
     """Write ``df`` as Parquet.
 
-    With ``partition_by``, rows are range-partitioned on (date, *cluster_by)
-    so each task writes a contiguous key range (few files per day, no
-    small-file explosion), then sorted within the task on the same keys.
+    With ``partition_by``, rows are rebalanced on the date (AQE splits a day
+    that holds a large share of the rows across several tasks and merges small
+    ones, so neither one huge task nor many tiny files), then sorted within
+    each task on (date, *cluster_by).
     """
     out = df
-    keys = ([partition_by] if partition_by else []) + list(cluster_by)
-    if keys:
-        out = out.repartitionByRange(*[F.col(k) for k in keys]).sortWithinPartitions(*keys)
+    if partition_by:
+        out = out.hint("rebalance", F.col(partition_by)).sortWithinPartitions(partition_by, *cluster_by)
+    elif cluster_by:
+        out = out.sortWithinPartitions(*cluster_by)
     writer = out.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(partition_by)
