@@ -1 +1,5 @@
-"""streaming"""
+"""The funnel model over an event stream (Structured Streaming)."""
+
+from tiffin.streaming.funnel_stream import funnel_stream, read_event_stream, start_funnel_sink
+
+__all__ = ["funnel_stream", "read_event_stream", "start_funnel_sink"]

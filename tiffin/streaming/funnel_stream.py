@@ -1,0 +1,92 @@
+"""The fact_funnel model maintained from an event stream.
+
+Same typing and stage rules as the batch model (``stg_events``,
+``op_funnel_counts``, ``op_funnel_rates``); the day key is a 1-day event-time
+window so Spark can drop a day's state once the watermark has passed it.
+
+Append mode emits each (day, channel, campaign, device, city) row once, when
+its day is closed by the watermark; the Parquet file sink with a checkpoint is
+exactly-once, so a restarted query neither loses nor repeats rows. Events
+later than the watermark are dropped by Spark; choose ``lateness`` as the
+longest delay to wait for.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
+
+from tiffin.functions.semantics import ts_literal
+from tiffin.operators import funnel as fn
+from tiffin.plans import staging as st
+
+RAW_EVENT_SCHEMA = StructType(
+    [
+        StructField("event_id", LongType()),
+        StructField("session_id", LongType()),
+        StructField("user_id", LongType()),
+        StructField("event_timestamp", TimestampNTZType()),
+        StructField("event_name", StringType()),
+        StructField("page_name", StringType()),
+        StructField("channel", StringType()),
+        StructField("campaign", StringType()),
+        StructField("device", StringType()),
+        StructField("city", StringType()),
+        StructField("voucher_code", StringType()),
+    ]
+)
+
+
+def read_event_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+    reader = spark.readStream.schema(RAW_EVENT_SCHEMA)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(path)
+
+
+_DAY_MICROS = 86_400_000_000
+
+
+def _as_utc_instant(ntz: str):
+    """A zone-less timestamp as the UTC instant with the same wall clock
+    (watermarks need an instant), independent of the session time zone."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", ts_literal("1970-01-01 00:00:00"), F.col(ntz)))
+
+
+def funnel_stream(raw_events: DataFrame, lateness: str = "1 day") -> DataFrame:
+    """Streaming fact_funnel: stage counts per day and keys, then the rates."""
+    events = (
+        st.stg_events(raw_events)
+        .filter(F.col("funnel_stage") != "NOISE")
+        .withColumn("_event_time", _as_utc_instant("event_timestamp"))
+        .withWatermark("_event_time", lateness)
+    )
+    stage = F.col("funnel_stage")
+    counts = events.groupBy(
+        F.window("_event_time", "1 day").alias("_day"),
+        "channel",
+        F.coalesce("campaign", F.lit(fn.NO_CAMPAIGN)).alias("campaign"),
+        "device",
+        "city",
+    ).agg(*[F.count_if(stage == s).alias(c) for s, c in zip(fn.STAGES, fn.STAGE_COLUMNS)])
+    day_number = F.floor(F.unix_micros(F.col("_day.start")) / _DAY_MICROS).cast("int")
+    keyed = counts.withColumn("session_date", F.date_add(F.lit("1970-01-01").cast("date"), day_number)).drop("_day")
+    return fn.op_funnel_rates(keyed)
+
+
+def start_funnel_sink(
+    funnel: DataFrame, path: str, checkpoint_location: str, trigger_seconds: int | None = None
+) -> StreamingQuery:
+    """Append closed days to a Parquet table partitioned by session_date."""
+    writer = (
+        funnel.writeStream.outputMode("append")
+        .format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint_location)
+        .partitionBy("session_date")
+    )
+    if trigger_seconds:
+        writer = writer.trigger(processingTime=f"{trigger_seconds} seconds")
+    return writer.start()
