@@ -79,20 +79,22 @@ def op_courier_vs_tier(couriers_with_stats: DataFrame) -> DataFrame:
     )
 
 
-def op_party_avgs(delivered: DataFrame) -> DataFrame:
-    """Mean prep per restaurant and mean ride per courier over delivered orders,
-    joined back to every delivered order.
-
-    Same values as ``avg() OVER (PARTITION BY party)``, but computed as two
-    partial aggregates and joined back: the windows would shuffle the wide rows
-    twice and put a hot restaurant in one task. The per-party tables have one
-    row per party; AQE broadcasts them when small. A NULL party is one group
-    for a window, hence the null-safe join.
+def op_party_avgs(delivered: DataFrame, basis: DataFrame | None = None) -> DataFrame:
+    """Mean prep per restaurant and mean ride per courier, joined to every
+    delivered order.
+
+    Same values as ``avg() OVER (PARTITION BY party)`` over ``basis``
+    (default: ``delivered`` itself), but computed as two partial aggregates
+    joined back: the windows would shuffle the wide rows twice and put a hot
+    restaurant in one task. The per-party tables have one row per party; AQE
+    broadcasts them when they are small. A NULL party is one group for a
+    window, hence the null-safe join.
     """
-    rest = delivered.groupBy("restaurant_id").agg(
+    basis = delivered if basis is None else basis
+    rest = basis.groupBy("restaurant_id").agg(
         F.round(F.avg("prep_time_mins"), 1).alias("restaurant_avg_prep_mins")
     ).withColumnRenamed("restaurant_id", "_rid")
-    cour = delivered.groupBy("courier_id").agg(
+    cour = basis.groupBy("courier_id").agg(
         F.round(F.avg("courier_ride_mins"), 1).alias("courier_avg_ride_mins")
     ).withColumnRenamed("courier_id", "_cid")
     out = delivered.join(rest, delivered["restaurant_id"].eqNullSafe(rest["_rid"]), "left")

@@ -273,4 +273,8 @@ def fact_delivery(
     """Delivered orders against SLA and per-party averages; ``tiers`` from :func:`customer_tiers`."""
     delivered = cu.delivered_orders(orders)
     joined = _join_tiers(_order_dimensions(delivered, restaurants, couriers), tiers, grain)
-    return sc.op_delivery_metrics(sc.op_party_avgs(joined)).select(*FACT_DELIVERY_COLUMNS)
+    # Under the contract every join above is one-to-one, so the peer averages
+    # come from the narrow delivered orders; as written the fanned-out rows
+    # are the averaging basis.
+    basis = delivered if grain == CONTRACT else joined
+    return sc.op_delivery_metrics(sc.op_party_avgs(joined, basis)).select(*FACT_DELIVERY_COLUMNS)
