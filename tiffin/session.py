@@ -44,14 +44,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and only read here. When it is
-    unset (local tests) a scratch folder is created and registered.
+    On a cluster the deployment sets ``spark.checkpoint.dir`` and Spark
+    registers it with the context at start-up; it is only read here. When
+    nothing is configured (local tests) a scratch folder is registered with
+    the context (the conf itself cannot be changed at runtime).
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    path = tempfile.mkdtemp(prefix="tiffin-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    path = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tiffin-ckpt-")
+    sc.setCheckpointDir(path)
     return path
