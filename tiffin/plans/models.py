@@ -120,29 +120,36 @@ MART_LEVELS = [
 ]
 
 
-def build(models: Models, out_dir: str, timings: dict[str, float] | None = None) -> dict[str, str]:
+def build(
+    models: Models, out_dir: str, timings: dict[str, float] | None = None, concurrency: int = 4
+) -> dict[str, str]:
     """Write every staging model and mart under ``out_dir``, level by level.
 
     Staging tables are written once (several marts read stg_orders), and each
     later level reads the written tables of the levels before it, as the
-    warehouse build does. A written table is the lineage cut: a lost executor
-    re-runs at most the current level's tasks. ``timings`` receives the
-    seconds spent writing each model.
+    warehouse build does. Models of one level do not depend on each other and
+    are submitted ``concurrency`` at a time (the warehouse build's thread
+    count); Spark interleaves their jobs. A written table is the lineage cut:
+    a lost executor re-runs at most the current level's tasks. ``timings``
+    receives the seconds spent writing each model.
     """
     import time
+    from concurrent.futures import ThreadPoolExecutor
 
     spark = models.raw.spark
-    levels = [STAGING, *MART_LEVELS]
-    paths: dict[str, str] = {}
-    for level in levels:
-        for name in level:
-            path = f"{out_dir.rstrip('/')}/{name}"
-            partition_by, cluster_by = MART_LAYOUT.get(name, (None, ()))
-            t0 = time.perf_counter()
-            write_table(getattr(models, name)(), path, partition_by, cluster_by)
-            if timings is not None:
-                timings[name] = round(time.perf_counter() - t0, 3)
-            paths[name] = path
+    paths: dict[str, str] = {name: f"{out_dir.rstrip('/')}/{name}" for level in [STAGING, *MART_LEVELS] for name in level}
+
+    def write(name: str) -> tuple[str, float]:
+        partition_by, cluster_by = MART_LAYOUT.get(name, (None, ()))
+        t0 = time.perf_counter()
+        write_table(getattr(models, name)(), paths[name], partition_by, cluster_by)
+        return name, round(time.perf_counter() - t0, 3)
+
+    for level in [STAGING, *MART_LEVELS]:
+        with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
+            for name, seconds in pool.map(write, level):
+                if timings is not None:
+                    timings[name] = seconds
         for name in level:
             models.overrides[name] = spark.read.parquet(paths[name])
             models.materialized.add(name)

@@ -185,7 +185,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapped = (
         events.join(names, ["event_type", "_slot"], "left")
         .withColumn("_nk", u % 4)
-        .join(F.broadcast(nation), "_nk", "left")
+        .join(nation, "_nk", "left")
     )
     attrs = _user_attributes(u, F.col("_city"))
     return mapped.select(
@@ -208,7 +208,7 @@ def raw_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     starts = raw_events(spark, sf_dir).groupBy("session_id").agg(F.min("event_timestamp").alias("session_start_at"))
     nation = _nation_names(read_table(spark, sf_dir, "nation"), "_nk", "_city")
     u = F.floor(F.col("session_id") / 1000).cast("long")
-    with_user = starts.withColumn("user_id", u).withColumn("_nk", u % 4).join(F.broadcast(nation), "_nk", "left")
+    with_user = starts.withColumn("user_id", u).withColumn("_nk", u % 4).join(nation, "_nk", "left")
     attrs = _user_attributes(F.col("user_id"), F.col("_city"))
     return with_user.select(
         "session_id",
