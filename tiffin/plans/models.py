@@ -16,11 +16,12 @@ from tiffin.plans import marts as mt
 from tiffin.plans import staging as st
 from tiffin.sources.fixtures import RawSources
 from tiffin.sources.sinks import MART_LAYOUT, register_view, write_table
+from tiffin.sources.tables import SourceTables
 
 
 @dataclass
 class Models:
-    raw: RawSources
+    raw: RawSources | SourceTables  # any object with one method per raw source
     grain: str = mt.CONTRACT
     slices: int | None = None
     overrides: dict[str, DataFrame] = field(default_factory=dict)
