@@ -267,19 +267,21 @@ def raw_couriers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One item per line; the line number repeats within an order, so items are
-    numbered by the full line content (skew-safe sequence, see ranking)."""
+    """One item per line that has a part; the line number repeats within an
+    order, so items are numbered by the full line content (skew-safe sequence,
+    see ranking) after the join, as the mapping's SQL numbers joined rows."""
     lines = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
     )
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
+    joined = lines.join(part, lines["l_partkey"] == part["p_partkey"], "inner")
     numbered = sequence_within(
-        lines,
+        joined,
         ["l_orderkey"],
         ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"],
         "_line_seq",
     )
-    return numbered.join(part, numbered["l_partkey"] == part["p_partkey"], "inner").select(
+    return numbered.select(
         (F.col("l_orderkey") * 1000 + F.col("_line_seq")).alias("item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("p_name").alias("item_name"),
