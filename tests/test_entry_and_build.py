@@ -65,3 +65,23 @@ def test_models_from_stored_tables_and_seed_csvs(spark, tmp_path):
         a, b = getattr(from_lake, name)(), getattr(from_fixture, name)()
         assert a.dtypes == b.dtypes, name  # names and types (Parquet reads every column as nullable)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+def test_wide_tables_have_no_single_partition_exchange(spark):
+    """SURVEY §7.2 step 8: as the build computes them (reading the written
+    lower levels), no wide table funnels its rows through one partition."""
+    from tiffin.plans.models import MART_LEVELS, STAGING
+
+    out = tempfile.mkdtemp(prefix="tiffin-sp-")
+    build(Models(RawSources(spark, SF_SMALL)), out)
+    lower = {"fact_user_metrics": STAGING + MART_LEVELS[0], "fact_orders": STAGING + MART_LEVELS[0] + MART_LEVELS[1],
+             "fact_delivery": STAGING + MART_LEVELS[0] + MART_LEVELS[1], "stg_orders": []}
+    for name, deps in lower.items():
+        m = Models(RawSources(spark, SF_SMALL))
+        for dep in deps:
+            m.overrides[dep] = spark.read.parquet(f"{out}/{dep}")
+            m.materialized.add(dep)
+        df = getattr(m, name)()
+        df.write.format("noop").mode("overwrite").save()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange SinglePartition" not in plan, name
