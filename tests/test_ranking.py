@@ -82,3 +82,14 @@ def test_percent_rank_plan_ranks_data_per_slice(spark):
     # global percent_rank (one partition for all rows) is not used
     assert "percent_rank" not in plan
     assert "windowspecdefinition(_slice" in plan
+
+
+def test_many_hot_groups(spark):
+    # 40 groups of ~2.5% each: all are hot with 64 slices; numbering stays exact
+    df = spark.range(0, 8000).select(
+        (F.col("id") % 40).alias("customer_id"), (F.col("id") % 13).alias("placed_at"), F.col("id").alias("order_id")
+    )
+    assert len(rk.hot_groups(df, ["customer_id"], 64)) == 40
+    got = rk.sequence_within(df, ["customer_id"], ["placed_at", "order_id"], "seq", slices=64)
+    want = _builtin_seq(df, ["customer_id"], ["placed_at", "order_id"])
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tiffin.session import checkpoint_dir
 
@@ -61,14 +62,20 @@ def hot_groups(df: DataFrame, group_cols: list[str], slices: int) -> list[tuple]
     return [tuple(r) for r in hot.collect()]
 
 
-def _in_groups(group_cols: list[str], keys: list[tuple]) -> Column:
-    cond = F.lit(False)
-    for key in keys:
-        match = F.lit(True)
-        for c, v in zip(group_cols, key):
-            match = match & F.col(c).eqNullSafe(F.lit(v))
-        cond = cond | match
-    return cond
+def _mark_hot(df: DataFrame, group_cols: list[str], hot: list[tuple]) -> DataFrame:
+    """Add ``_hot`` (true for rows of a hot group) with a broadcast join on
+    the hot keys: at most ``slices`` rows, so the broadcast is bounded, and the
+    plan stays the same size however many keys there are."""
+    schema = StructType([df.schema[c] for c in group_cols])
+    keys = df.sparkSession.createDataFrame(hot, schema).select(
+        *[F.col(c).alias(f"_h_{c}") for c in group_cols], F.lit(True).alias("_hot")
+    )
+    cond = None
+    for c in group_cols:
+        term = df[c].eqNullSafe(keys[f"_h_{c}"])
+        cond = term if cond is None else cond & term
+    marked = df.join(F.broadcast(keys), cond, "left").drop(*[f"_h_{c}" for c in group_cols])
+    return marked.withColumn("_hot", F.coalesce("_hot", F.lit(False)))
 
 
 def sequence_within(
@@ -90,9 +97,10 @@ def sequence_within(
     hot = hot_groups(df, group_cols, n)
     if not hot:
         return df.withColumn(out_col, F.row_number().over(w).cast("long"))
-    is_hot = _in_groups(group_cols, hot)
-    cold = df.filter(~is_hot).withColumn(out_col, F.row_number().over(w).cast("long"))
-    return cold.unionByName(sequence_by_slices(df.filter(is_hot), group_cols, order_cols, out_col, n))
+    marked = _mark_hot(df, group_cols, hot)
+    cold = marked.filter(~F.col("_hot")).drop("_hot").withColumn(out_col, F.row_number().over(w).cast("long"))
+    hot_rows = marked.filter(F.col("_hot")).drop("_hot")
+    return cold.unionByName(sequence_by_slices(hot_rows, group_cols, order_cols, out_col, n))
 
 
 def sequence_by_slices(
