@@ -109,15 +109,16 @@ class Models:
         )
 
 
+# Heaviest first within a level, so the longest model starts first.
 STAGING = [
-    "stg_couriers", "stg_restaurants", "stg_exchange_rates", "stg_users",
-    "stg_sessions", "stg_order_items", "stg_events", "stg_orders",
+    "stg_orders", "stg_order_items", "stg_events", "stg_sessions",
+    "stg_users", "stg_restaurants", "stg_couriers", "stg_exchange_rates",
 ]
 # Build levels: a level reads only models of lower levels.
 MART_LEVELS = [
-    ["dim_users", "dim_restaurants", "dim_couriers", "fact_funnel"],
+    ["dim_users", "fact_funnel", "dim_restaurants", "dim_couriers"],
     ["fact_user_metrics", "fact_channel_performance"],
-    ["fact_orders", "fact_delivery"],
+    ["fact_delivery", "fact_orders"],
 ]
 
 
