@@ -1,6 +1,7 @@
 from datetime import date
 
 from helpers import BASE, delivered, order, raw_orders
+from pyspark.sql import functions as F
 
 from tiffin.operators import checks as ck
 from tiffin.plans import staging as st
@@ -42,6 +43,6 @@ def test_sla_consistency_false_positive_from_rounding(spark):
 
 def test_sla_consistency_false_negative_on_planted_flag(spark):
     o = st.stg_orders(raw_orders(spark, [delivered(1, BASE, 60, 60, 3600)]))  # 61 min > 60
-    planted = o.withColumn("is_sla_breach", __import__("pyspark.sql.functions", fromlist=["lit"]).lit(False))
+    planted = o.withColumn("is_sla_breach", F.lit(False))
     got = ck.check_sla_consistency(planted).collect()
     assert [(r.order_id, r.failure_type) for r in got] == [(1, "false_negative")]

@@ -1,5 +1,4 @@
 from helpers import BASE, by_id, delivered, order, raw_orders
-from pyspark.sql import functions as F
 
 from tiffin.operators import scorecards as sc
 from tiffin.plans import staging as st
