@@ -85,3 +85,16 @@ def test_wide_tables_have_no_single_partition_exchange(spark):
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Exchange SinglePartition" not in plan, name
+
+
+def test_day_partitioned_sink_rebalances_on_the_date(spark):
+    from tiffin.sources.sinks import write_table
+
+    df = Models(RawSources(spark, SF_SMALL)).stg_orders()
+    out = tempfile.mkdtemp(prefix="tiffin-sink-")
+    write_table(df, out, "order_date", ("channel", "city"))
+    # the writer plan: a rebalance exchange on the date, then a sort on (date, cluster keys)
+    planned = df.hint("rebalance", F.col("order_date")).sortWithinPartitions("order_date", "channel", "city")
+    plan = planned._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+    assert spark.read.parquet(out).count() == 1500
