@@ -13,6 +13,7 @@ for per-order line facts, joins for names, no driver-side data.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,8 +64,19 @@ REGISTERED_EPOCH = "2023-01-01 00:00:00"
 JOINED_EPOCH = "2022-01-01 00:00:00"
 
 
+_LOCAL = threading.local()  # per-thread: the table cache of the RawSources being built
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table. Inside ``RawSources`` each table is listed and its
+    Parquet footer read once, however many sources use it."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    cache = getattr(_LOCAL, "tables", None)
+    if cache is None:
+        return spark.read.parquet(path)
+    if path not in cache:
+        cache[path] = spark.read.parquet(path)
+    return cache[path]
 
 
 def _case(key: Column, mapping: dict, default=None) -> Column:
@@ -293,31 +305,42 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @dataclass
 class RawSources:
-    """Lazy raw sources for one table folder."""
+    """Lazy raw sources for one table folder (driver tables read once)."""
 
     spark: SparkSession
     sf_dir: str
 
+    def __post_init__(self) -> None:
+        self._tables: dict = {}
+
+    def _with_tables(self, make):
+        outer = getattr(_LOCAL, "tables", None)
+        _LOCAL.tables = self._tables
+        try:
+            return make(self.spark, self.sf_dir)
+        finally:
+            _LOCAL.tables = outer
+
     def orders(self) -> DataFrame:
-        return raw_orders(self.spark, self.sf_dir)
+        return self._with_tables(raw_orders)
 
     def events(self) -> DataFrame:
-        return raw_events(self.spark, self.sf_dir)
+        return self._with_tables(raw_events)
 
     def sessions(self) -> DataFrame:
-        return raw_sessions(self.spark, self.sf_dir)
+        return self._with_tables(raw_sessions)
 
     def users(self) -> DataFrame:
-        return raw_users(self.spark, self.sf_dir)
+        return self._with_tables(raw_users)
 
     def restaurants(self) -> DataFrame:
-        return raw_restaurants(self.spark, self.sf_dir)
+        return self._with_tables(raw_restaurants)
 
     def couriers(self) -> DataFrame:
-        return raw_couriers(self.spark, self.sf_dir)
+        return self._with_tables(raw_couriers)
 
     def order_items(self) -> DataFrame:
-        return raw_order_items(self.spark, self.sf_dir)
+        return self._with_tables(raw_order_items)
 
     def exchange_rates_usd(self) -> DataFrame:
         return exchange_rates_usd(self.spark)
