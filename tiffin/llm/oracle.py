@@ -10,13 +10,13 @@ from tiffin.llm.licenses import LEAST, LOWER, TEMPLATES, UPPER
 
 TOP_K = """
 with usable as (
-    select vec_id, list_transform(embedding, x -> floor(64 * x::double)) as v
+    select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as v
     from embeddings
     where vec_id is not null and embedding is not null
-      and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), vectors as (select distinct vec_id, v from usable),
 scored as (
-    select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2]))::bigint as score
+    select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
     from vectors q join vectors c on c.vec_id <> q.vec_id
     where q.vec_id % 20 = 0
 ), ranked as (
@@ -58,13 +58,13 @@ with sized as (
         sum(source_size) over () as total
     from sources
 ), share as (
-    select min((total - held)::double / free::double) filter (where (total - held)::double / free::double * weight <= top) as share from bounded
+    -- The first step at which no source that is left goes over; later ones hold too much back.
+    select max((total - held)::double / free::double) filter (where (total - held)::double / free::double * weight <= top) as share from bounded
 ), targets as (
     select source, source_size, least(weight * share, top::double) as target,
         ('0x' || substr(md5('mix-1:' || coalesce(source, chr(0))), 1, 8))::bigint / 4294967296.0::double as u
-    from sources_top cross join share
-), sources_top as (select *, 3 * source_size as top from sources),
-placed as (
+    from bounded cross join share
+), placed as (
     select doc_id, source, size, row_number() over (partition by source order by size, doc_id) - 1 as place from sized
 ), rated as (
     select p.*, t.source_size, t.target, case when t.source_size = 0 then 0 else t.target / t.source_size end as rate, t.u
@@ -79,7 +79,7 @@ def _licences() -> str:
         "({}, '{}', '{}')".format(i, name, text.replace("'", "''")) for i, (name, text) in enumerate(TEMPLATES)
     )
     clean = f"trim(regexp_replace(translate({{}}, '{UPPER}', '{LOWER}'), '[^a-z0-9]+', ' ', 'g'))"
-    pairs = "list_distinct(list_transform(range(1, len({0})), i -> {0}[i] || ' ' || {0}[i + 1]))"
+    pairs = "list_distinct(list_transform(range(1, len({0})), lambda i: {0}[i] || ' ' || {0}[i + 1]))"
     return f"""
 with templates(template, license, t) as (values
         {rows}),
