@@ -18,7 +18,7 @@ from pathlib import Path
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 
-from tiffin.plans.models import MART_LEVELS, STAGING, Models, build  # noqa: E402
+from tiffin.plans.models import LEVELS, STAGING, Models, build  # noqa: E402
 from tiffin.session import local_session  # noqa: E402
 from tiffin.sources.fixtures import RawSources  # noqa: E402
 
@@ -75,22 +75,17 @@ def main() -> None:
         df = getattr(Models(RawSources(spark, sf_dir)), name)()
         df.write.format("noop").mode("overwrite").save()
         lines += summarize(name, df._jdf.queryExecution().executedPlan().toString())
-    levels = [n for level in MART_LEVELS for n in level]
-    for i, name in enumerate(levels):
-        m = Models(RawSources(spark, sf_dir))
-        for lower in STAGING + levels[:i]:
-            if lower in [n for lv in MART_LEVELS for n in lv] and MART_LEVELS_INDEX[lower] >= MART_LEVELS_INDEX[name]:
-                continue
-            m.overrides[lower] = spark.read.parquet(f"{out_dir}/{lower}")
-            m.materialized.add(lower)
-        df = getattr(m, name)()
-        df.write.format("noop").mode("overwrite").save()
-        lines += summarize(name, df._jdf.queryExecution().executedPlan().toString())
+    for i, level in enumerate(LEVELS):
+        for name in level:
+            m = Models(RawSources(spark, sf_dir))
+            for lower in (n for lower_level in LEVELS[:i] for n in lower_level):
+                m.overrides[lower] = spark.read.parquet(f"{out_dir}/{lower}")
+            df = getattr(m, name)()
+            df.write.format("noop").mode("overwrite").save()
+            lines += summarize(name, df._jdf.queryExecution().executedPlan().toString())
     print("\n".join(lines))
     spark.stop()
 
 
-MART_LEVELS_INDEX = {n: i for i, level in enumerate(MART_LEVELS) for n in level}
-
 if __name__ == "__main__":
     main()

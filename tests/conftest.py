@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -13,6 +14,6 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("*", 8)
+    session = local_session(os.environ.get("TEST_CORES", "*"), 8)
     yield session
     session.stop()

@@ -42,7 +42,7 @@ def test_frequency_and_monetary_scores(spark):
             oid += 1
             rows.append(delivered(oid, day(-k), 60, 60, 600, customer_id=c, food_price=1000.0 * (c + 1) / n))
     act = cu.customer_activity(cu.delivered_orders(stg(spark, rows)))
-    got = by_id(cu.op_rfm_scores(act, slices=3), "customer_id")
+    got = by_id(cu.op_rfm_scores(act), "customer_id")
     assert [got[c]["f_score"] for c in range(5)] == [1, 2, 2, 3, 3]
     ranks = sorted(range(11), key=lambda c: got[c]["gmv_in_90d"])
     m = [got[c]["m_score"] for c in ranks]
@@ -79,10 +79,10 @@ def test_dim_users_defaults_and_as_written_fanout(spark):
     rows = [delivered(1, day(0), 60, 60, 600, customer_id=1), delivered(2, day(-1), 60, 60, 600, customer_id=1),
             delivered(3, day(-2), 60, 60, 600, customer_id=2), order(4, customer_id=3, order_status="cancelled")]
     o, u = stg(spark, rows), users(spark, [1, 2, 3, 4])
-    dim = by_id(mt.dim_users(u, o), "customer_id")
+    dim = by_id(mt.dim_users(mt.customer_context(u, o)), "customer_id")
     assert len(dim) == 4
     assert (dim[4]["customer_segment"], dim[4]["r_score"], dim[4]["rfm_total"], dim[4]["recency_days"]) == ("AT_RISK", 1, 3, None)
-    aw = mt.dim_users(u, o, grain=mt.AS_WRITTEN)
+    aw = mt.dim_users_as_written(u, o)
     assert sorted(r.customer_id for r in aw.collect()) == [1, 1, 2, 3, 4]
 
 
@@ -101,7 +101,7 @@ def test_fact_user_metrics_churn_counts_each_delivered_order_once(spark):
             delivered(2, day(-1), 60, 60, 3000, customer_id=1, delivery_distance_km=1.0)]  # 52 min > 33 breach
     o, u = stg(spark, rows), users(spark, [1])
     fx = st.stg_exchange_rates(exchange_rates_usd(spark))
-    contract = mt.fact_user_metrics(o, mt.dim_users(u, o), fx)
+    contract = mt.fact_user_metrics(o, mt.customer_context(u, o), fx)
     assert {r.churn_risk_tier for r in contract.collect()} == {"LOW"} and contract.count() == 2
-    aw = mt.fact_user_metrics(o, mt.dim_users(u, o, grain=mt.AS_WRITTEN), fx, grain=mt.AS_WRITTEN)
+    aw = mt.fact_user_metrics_as_written(o, mt.dim_users_as_written(u, o), fx)
     assert aw.count() == 4

@@ -5,9 +5,11 @@ from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tiffin.plans.models import Models, build
+from tiffin.plans import marts as mt
+from tiffin.plans.models import STAGING, Models, build
 from tiffin.sources.fixtures import RawSources
 from tiffin.sources.schemas import RAW_COLUMNS
+from tiffin.sources.sinks import MART_LAYOUT
 from tiffin.sources.seeds import exchange_rates_usd, read_seed_csv
 from tiffin.plans import staging as st
 
@@ -18,18 +20,26 @@ def test_entry_smoke(spark):
     assert df.columns[:3] == ["channel", "campaign", "voucher_code"] and len(df.columns) == 29
 
 
-def test_build_writes_partitioned_marts_and_reads_back(spark):
+MARTS = set(MART_LAYOUT)
+
+
+def test_build_writes_named_marts_and_views(spark):
     out = tempfile.mkdtemp(prefix="tiffin-build-")
     timings = {}
     paths = build(Models(RawSources(spark, SF_SMALL)), out, timings)
-    assert set(timings) == set(paths) and len(paths) == 16
+    assert set(timings) == set(paths) == MARTS | {"stg_orders", "customer_context"}
+    assert {r.tableName for r in spark.sql("SHOW TABLES IN marts").collect() if not r.isTemporary} == MARTS
     assert any(p.startswith("order_date=") for p in os.listdir(paths["fact_orders"]))
-    fo = spark.read.parquet(paths["fact_orders"])
+    fo = spark.table("marts.fact_orders")
     assert fo.count() == 1500
     # a date filter prunes partitions
     plan = fo.filter(F.col("order_date") == "2024-01-05")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_date" in plan
+    for name in STAGING:
+        assert spark.catalog.listTables("marts") and spark.table(name).count() > 0
     assert spark.table("stg_orders").count() == 1500
+    again = build(Models(RawSources(spark, SF_SMALL)), tempfile.mkdtemp(prefix="tiffin-build-"))
+    assert spark.table("marts.fact_orders").count() == 1500 and again != paths
 
 
 def test_read_seed_csv_crlf(spark, tmp_path):
@@ -70,23 +80,30 @@ def test_models_from_stored_tables_and_seed_csvs(spark, tmp_path):
 def test_wide_tables_have_no_single_partition_exchange(spark):
     """SURVEY §7.2 step 8: as the build computes them (reading the written
     lower levels), no wide table funnels its rows through one partition."""
-    from tiffin.plans.models import MART_LEVELS, STAGING
-
     out = tempfile.mkdtemp(prefix="tiffin-sp-")
     build(Models(RawSources(spark, SF_SMALL)), out)
-    lower = {"fact_user_metrics": STAGING + MART_LEVELS[0], "fact_orders": STAGING + MART_LEVELS[0] + MART_LEVELS[1],
-             "fact_delivery": STAGING + MART_LEVELS[0] + MART_LEVELS[1], "stg_orders": []}
-    for name, deps in lower.items():
+    for name in ("fact_user_metrics", "fact_orders", "fact_delivery", "stg_orders"):
         m = Models(RawSources(spark, SF_SMALL))
-        for dep in deps:
-            m.overrides[dep] = spark.read.parquet(f"{out}/{dep}")
-            m.materialized.add(dep)
+        for dep in ("stg_orders", "customer_context"):
+            if dep != name:
+                m.overrides[dep] = spark.read.parquet(f"{out}/{dep}")
         df = getattr(m, name)()
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Exchange SinglePartition" not in plan, name
 
 
+def test_fact_delivery_has_three_wide_joins(spark):
+    m = Models(RawSources(spark, SF_SMALL))
+    frames = [m.stg_orders(), m.stg_restaurants(), m.stg_couriers(), m.customer_context()]
+    out = tempfile.mkdtemp(prefix="tiffin-fd-")
+    for i, df in enumerate(frames):
+        df.write.parquet(f"{out}/{i}")
+    stored = [spark.read.parquet(f"{out}/{i}") for i in range(4)]
+    plan = mt.fact_delivery(*stored)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 3 and plan.count("Join FullOuter") == 2
+
+
 def test_day_partitioned_sink_rebalances_on_the_date(spark):
     from tiffin.sources.sinks import write_table
 

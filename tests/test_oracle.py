@@ -10,7 +10,13 @@ from conftest import SF_SMALL
 
 import __spark_entry__ as entry
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+# Nothing that SQL lacks belongs to the core library; the llm operators without SQL are tested in tests/llm.
+LLM_WITHOUT_SQL = ("op2_", "op5_", "op6_", "op7_", "op10_", "pipeline")
+# Reports that the fixture leaves empty, as its marts keep their keys.
+EMPTY = {"check_unique", "check_not_null", "check_staging_keys"}
 
 
 def _norm(v):
@@ -43,13 +49,15 @@ def duck():
 
 
 def test_every_query_has_oracle_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    without = {k for k in entry.queries() if not k.startswith(LLM_WITHOUT_SQL)}
+    assert without == set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, duck, key):
     got = entry.queries()[key](spark, SF_SMALL).toPandas()
     want = duck.execute(entry.oracle_sql()[key]).fetchdf()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
+    assert len(got) > 0 or key in EMPTY or (key, SF_SMALL) == ("check_sla_consistency", SF_SMALL)
     assert _rows(got) == _rows(want)

@@ -5,9 +5,8 @@ Layers:
   functions  column helpers with the warehouse-dialect semantics the models need
   operators  the analytic sub-operators (pricing, SLA, funnel, RFM, ranks, checks ...)
   plans      staging models and marts composed from the operators
-  streaming  the funnel model over an event stream
 """
 
-from tiffin.session import checkpoint_dir, local_session
+from tiffin.session import local_session
 
-__all__ = ["local_session", "checkpoint_dir"]
+__all__ = ["local_session"]

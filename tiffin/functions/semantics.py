@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
@@ -39,6 +39,20 @@ def nullif_empty(c: ColumnOrName) -> Column:
     return F.nullif(col(c), F.lit(""))
 
 
+def utc_timestamp(df: DataFrame, name: str) -> Column:
+    """Column ``name`` as a zone-less timestamp in UTC, whatever the session time zone.
+
+    Text is cast (``''`` is null), zone-less timestamps and dates stay as they are, and a
+    zoned timestamp becomes its instant's wall clock in UTC.
+    """
+    kind = df.schema[name].dataType.typeName()
+    if kind == "string":
+        return nullif_empty(name).cast("timestamp_ntz").alias(name)
+    if kind == "timestamp":
+        return F.timestamp_add("MICROSECOND", F.unix_micros(name), ts_literal("1970-01-01 00:00:00")).alias(name)
+    return F.col(name).cast("timestamp_ntz").alias(name)
+
+
 def is_weekend_day(ts: ColumnOrName) -> Column:
     """Sunday (1) or Saturday (7)."""
     return F.dayofweek(col(ts)).isin(1, 7)

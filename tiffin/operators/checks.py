@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tiffin.operators.orders import sla_threshold
+
 REPORT_COLUMNS = ["model", "column_name", "failure_type", "failed_value"]
 STAGING_KEYS = {
     "stg_orders": ["order_id"],
@@ -111,7 +113,7 @@ def check_cancelled_orders(orders: DataFrame) -> DataFrame:
 def check_sla_consistency(orders: DataFrame) -> DataFrame:
     """Breach flags that disagree with the threshold rounded to 0.1 minute."""
     total = F.col("total_delivery_mins")
-    rounded = F.round(F.lit(30) + F.col("delivery_distance_km") * 3, 1)
+    rounded = F.round(sla_threshold(), 1)
     base = orders.filter((F.col("order_status") == "delivered") & total.isNotNull())
 
     def side(flag: bool, cond: Column, label: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiffin.functions.semantics import count_true, safe_divide, year_month
-from tiffin.operators.ranking import percent_rank_over
+from tiffin.operators.ranking import rank_cuts
 
 # Fixed values of the RFM and churn rules.
 RFM_WINDOW_DAYS = 90
@@ -92,9 +92,14 @@ def f_score(orders_90d: Column) -> Column:
     return F.when(orders_90d >= n1, F.lit(s1)).when(orders_90d >= n2, F.lit(s2)).otherwise(F.lit(1)).cast("long")
 
 
-def m_score(pct: Column) -> Column:
-    (p1, s1), (p2, s2) = MONETARY_STEPS
-    return F.when(pct >= p1, F.lit(s1)).when(pct >= p2, F.lit(s2)).otherwise(F.lit(1)).cast("long")
+def m_score(rows: DataFrame, value_col: str) -> Column:
+    """Score of a value by its percent rank among ``rows``, from the values at which the rank reaches each floor."""
+    cuts = rank_cuts(rows, value_col, [floor for floor, _ in MONETARY_STEPS])
+    score = None
+    for i, (_, s) in enumerate(MONETARY_STEPS):
+        reached = F.col(value_col) >= cuts.getField(f"c{i}")
+        score = F.when(reached, F.lit(s)) if score is None else score.when(reached, F.lit(s))
+    return score.otherwise(F.lit(1)).cast("long")
 
 
 def op_recency(delivered: DataFrame) -> DataFrame:
@@ -103,17 +108,16 @@ def op_recency(delivered: DataFrame) -> DataFrame:
     )
 
 
-def op_rfm_scores(activity: DataFrame, slices: int | None = None) -> DataFrame:
+def op_rfm_scores(activity: DataFrame) -> DataFrame:
     """r, f and m scores per customer; m is the percent rank of 90-day GMV
     among customers with a delivered order (distributed rank)."""
-    ranked = percent_rank_over(activity, "gmv_in_90d", "_gmv_pct", slices)
-    return ranked.withColumns(
+    return activity.withColumns(
         {
             "r_score": r_score(F.col("recency_days")),
             "f_score": f_score(F.col("orders_in_90d")),
-            "m_score": m_score(F.col("_gmv_pct")),
+            "m_score": m_score(activity.select("gmv_in_90d"), "gmv_in_90d"),
         }
-    ).drop("_gmv_pct")
+    )
 
 
 def op_segment(scores: DataFrame) -> DataFrame:
@@ -151,11 +155,12 @@ def op_fx_convert(orders: DataFrame, fx: DataFrame) -> DataFrame:
     """Month key, the month's rate (NULL outside the rate table), and each money
     column as ``_lcy`` (unchanged) and ``_usd`` (rounded to cents).
 
-    The rate table has one row per month, so broadcasting it is bounded.
+    The join follows the rate table: an order gets a row for each rate of its month, so the
+    table should hold one (``check_unique`` on ``period`` tells). Its size is left to the planner.
     """
     rates = fx.select(F.col("period").alias("order_period"), "lcy", "usd_to_lcy", "lcy_to_usd")
     keyed = orders.withColumn("order_period", year_month("order_date"))
-    joined = keyed.join(F.broadcast(rates), "order_period", "left")
+    joined = keyed.join(rates, "order_period", "left")
     rate = F.col("lcy_to_usd")
     return joined.withColumns(
         {

@@ -99,9 +99,13 @@ def op_durations(df: DataFrame) -> DataFrame:
     )
 
 
-def op_order_sequence(df: DataFrame, slices: int | None = None) -> DataFrame:
-    """user_order_number (all statuses, by placed_at then order_id) and is_first_order."""
-    seq = sequence_within(df, ["customer_id"], ["placed_at", "order_id"], "user_order_number", slices)
+def op_order_sequence(df: DataFrame) -> DataFrame:
+    """user_order_number (all statuses, by placed_at then order_id) and is_first_order.
+
+    Orders are numbered within a customer's hour, plus the customer's orders of earlier hours.
+    """
+    hour = F.floor(F.timestamp_diff("MINUTE", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), "placed_at") / 60)
+    seq = sequence_within(df, ["customer_id"], ["placed_at", "order_id"], "user_order_number", hour)
     return seq.withColumn("is_first_order", F.col("user_order_number") == 1)
 
 
@@ -159,7 +163,7 @@ def op_bottleneck(df: DataFrame) -> DataFrame:
     )
 
 
-# The stg_orders output columns, in model order.
+# The stg_orders output columns, in model order.
 STG_ORDERS_COLUMNS = [
     "order_id", "session_id", "customer_id", "restaurant_id", "courier_id", "channel", "campaign",
     "voucher_code", "device", "city", "destination_name", "delivery_distance_km", "order_type",

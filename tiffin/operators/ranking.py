@@ -1,205 +1,74 @@
-"""Order-dependent numbering that stays distributed under skew.
+"""Order-dependent numbering that stays distributed under skew, as one lazy plan.
 
 ``row_number() OVER (PARTITION BY g ORDER BY o)`` puts every row of a group in
-one task, so a customer holding a third of all orders becomes a third of the
-job in a single task. ``percent_rank() OVER (ORDER BY v)`` without a partition
-is worse: Spark plans ``Exchange SinglePartition``.
-
-Both are rebuilt here from a range partitioning of the data (Spark samples the
-keys and cuts the key space into slices of similar size, splitting a hot group
-across several slices), a per-slice local computation, and a small table of
-per-slice offsets joined back. The answer does not depend on where the slice
-bounds fall; they only balance the work.
-
-The sliced rows are read twice (for the offsets and for the answer), and two
-range exchanges would each sample their own bounds. The sliced rows are
-therefore wrapped in a reliable ``checkpoint()`` (lazy): both reads share one
-RDD and so one range shuffle with one set of bounds, and after the first job
-the rows are saved to the shared folder in ``spark.checkpoint.dir``, so a lost
-executor re-reads them instead of re-slicing. Before that, a lost partition
-is recomputed through the same shuffle dependency, hence the same slices.
+one task, and ``percent_rank() OVER (ORDER BY v)`` without a partition puts all
+rows there. Both are rebuilt from buckets that follow the order: rows are numbered
+or summed within a bucket, and a narrow table with one row a bucket carries what
+stands before it. No bound depends on the data, and no job runs before the action.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-from tiffin.session import checkpoint_dir
-
-_POS_BITS = 33  # monotonically_increasing_id: partition id above bit 33, row position below
-
-
-def _slices(df: DataFrame, slices: int | None) -> int:
-    if slices:
-        return slices
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _materialize(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=False)
 
+#: Buckets of :func:`rank_cuts` for each factor of e in the value: a bucket spans 1/256 of its value.
+STEPS_PER_E = 256
 
-def _null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
-    cond = None
-    for lc, rc in pairs:
-        c = left[lc].eqNullSafe(right[rc])
-        cond = c if cond is None else cond & c
-    return cond
 
+def _row_keys(group_cols: list[str], bucket: Column) -> dict[str, Column]:
+    """The group and its bucket as columns without nulls, so that the window and the join share one exchange.
 
-def hot_groups(df: DataFrame, group_cols: list[str], slices: int) -> list[tuple]:
-    """Groups holding more rows than an average slice (count * slices > total).
-
-    Counted with a partial aggregate; fewer than ``slices`` groups can pass the
-    test, so the list brought to the driver is bounded by the slice count.
+    Group columns are whole numbers; a null group is one group, apart from 0.
     """
-    counts = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    hot = counts.filter(F.col("_n") * slices > total).select(*group_cols)
-    return [tuple(r) for r in hot.collect()]
-
-
-def _mark_hot(df: DataFrame, group_cols: list[str], hot: list[tuple]) -> DataFrame:
-    """Add ``_hot`` (true for rows of a hot group) with a broadcast join on
-    the hot keys: at most ``slices`` rows, so the broadcast is bounded, and the
-    plan stays the same size however many keys there are."""
-    schema = StructType([df.schema[c] for c in group_cols])
-    keys = df.sparkSession.createDataFrame(hot, schema).select(
-        *[F.col(c).alias(f"_h_{c}") for c in group_cols], F.lit(True).alias("_hot")
-    )
-    cond = None
-    for c in group_cols:
-        term = df[c].eqNullSafe(keys[f"_h_{c}"])
-        cond = term if cond is None else cond & term
-    marked = df.join(F.broadcast(keys), cond, "left").drop(*[f"_h_{c}" for c in group_cols])
-    return marked.withColumn("_hot", F.coalesce("_hot", F.lit(False)))
+    keys: dict[str, Column] = {}
+    for i, c in enumerate(group_cols):
+        keys |= {f"_g{i}": F.coalesce(F.col(c), F.lit(0)).cast("long"), f"_n{i}": F.col(c).isNull()}
+    return keys | {"_bucket": F.coalesce(bucket.cast("long"), F.lit(-(1 << 62)))}
 
 
 def sequence_within(
-    df: DataFrame,
-    group_cols: list[str],
-    order_cols: list[str],
-    out_col: str,
-    slices: int | None = None,
+    df: DataFrame, group_cols: list[str], order_cols: list[str], out_col: str, bucket: Column
 ) -> DataFrame:
     """Add ``out_col`` = 1-based ROW_NUMBER within ``group_cols`` by ``order_cols``.
 
-    Hot groups (see :func:`hot_groups`) are numbered by :func:`sequence_by_slices`,
-    which splits a group across tasks; every other group is smaller than an
-    average slice and is numbered by a plain ``row_number`` window (one
-    shuffle). With no hot group the plan is just the window.
+    ``bucket`` is a whole number that grows with the order (null first, as in the
+    order). Rows are numbered within (group, bucket), and the group's rows in earlier
+    buckets, from a narrow aggregate, are added. The wide rows are shuffled once, by
+    (group, bucket), for the window and the join together. The one limit left is a
+    single bucket of a single group, which is one task's work.
     """
-    n = _slices(df, slices)
-    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-    hot = hot_groups(df, group_cols, n)
-    if not hot:
-        return df.withColumn(out_col, F.row_number().over(w).cast("long"))
-    marked = _mark_hot(df, group_cols, hot)
-    cold = marked.filter(~F.col("_hot")).drop("_hot").withColumn(out_col, F.row_number().over(w).cast("long"))
-    hot_rows = marked.filter(F.col("_hot")).drop("_hot")
-    return cold.unionByName(sequence_by_slices(hot_rows, group_cols, order_cols, out_col, n))
-
-
-def sequence_by_slices(
-    df: DataFrame,
-    group_cols: list[str],
-    order_cols: list[str],
-    out_col: str,
-    slices: int | None = None,
-) -> DataFrame:
-    """ROW_NUMBER within ``group_cols`` that splits every group across tasks.
-
-    ``group_cols + order_cols`` must identify a row (add the table key as the
-    last order column). Plan: one range exchange on the full key, a sort within
-    each slice, the row position inside the slice, and a per-(group, slice)
-    table of first position and count whose running sum over slices gives the
-    offset. That table has at most one row per group plus one per slice; the
-    join back is broadcast by AQE when it is small and shuffled otherwise.
+    keys = _row_keys(group_cols, bucket)
+    names = list(keys)
+    counts = df.select(*[e.alias(c) for c, e in keys.items()]).groupBy(*names).agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(*names[:-1]).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*names, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    in_bucket = Window.partitionBy(*names).orderBy(*order_cols)
+    numbered = df.withColumns(keys).withColumn("_row", F.row_number().over(in_bucket))
+    joined = numbered.join(before, names)
+    return joined.withColumn(out_col, (F.col("_row") + F.col("_before")).cast("long")).drop("_row", "_before", *names)
+
+
+def rank_cuts(df: DataFrame, value_col: str, floors: list[float]) -> Column:
+    """The smallest value whose PERCENT_RANK over all rows reaches each floor: a scalar struct c0, c1, ...
+
+    The rank of a value is the share of the other rows with a smaller one, so it grows
+    with the value, and a row reaches a floor exactly if its value reaches the cut. Equal
+    values are one row with a count; counts are summed within logarithmic buckets, and
+    the buckets' totals (a few thousand rows at most, whatever the data) give what
+    stands before each. A cut is null where no rank reaches its floor.
     """
-    n = _slices(df, slices)
-    keys = [*group_cols, *order_cols]
-    ranged = _materialize(
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_rid", F.monotonically_increasing_id())
+    value = F.col(value_col)
+    bucket = F.signum(value) * F.floor(F.log1p(F.abs(value)) * STEPS_PER_E)
+    values = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_n")).withColumn("_bucket", bucket.cast("long"))
+    every = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = values.groupBy("_bucket").agg(F.sum("_n").alias("_rows"))
+    totals = totals.select(
+        "_bucket", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_base"), F.sum("_rows").over(every).alias("_all")
     )
-    ranged = (
-        ranged.withColumns(
-            {
-                "_slice": F.shiftright("_rid", _POS_BITS),
-                "_pos": F.col("_rid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)),
-            }
-        )
-        .drop("_rid")
-    )
-    by_slice = Window.partitionBy(*group_cols).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    stats = (
-        ranged.groupBy(*group_cols, "_slice")
-        .agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(by_slice), F.lit(0)))
-        .select(*[F.col(c).alias(f"_s_{c}") for c in group_cols], F.col("_slice").alias("_s_slice"), "_first", "_before")
-    )
-    pairs = [(c, f"_s_{c}") for c in group_cols] + [("_slice", "_s_slice")]
-    joined = ranged.join(stats, _null_safe_on(ranged, stats, pairs), "inner")
-    return joined.withColumn(out_col, (F.col("_pos") - F.col("_first") + F.col("_before") + 1).cast("long")).drop(
-        "_slice", "_pos", "_first", "_before", *[p[1] for p in pairs]
-    )
-
-
-def prefix_sums(
-    df: DataFrame,
-    order_col: str,
-    weight_col: str,
-    slices: int | None = None,
-) -> DataFrame:
-    """For rows with distinct ``order_col`` values, add ``_before`` (sum of
-    ``weight_col`` over all rows ordered before) and ``_total`` (sum over all).
-
-    Per-slice running sums run in parallel; the per-slice totals (one row per
-    slice, so bounded by the slice count) are broadcast as offsets.
-    """
-    n = _slices(df, slices)
-    ranged = _materialize(df.repartitionByRange(n, order_col).withColumn("_slice", F.spark_partition_id()))
-    in_slice = Window.partitionBy("_slice").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("_local", F.coalesce(F.sum(weight_col).over(in_slice), F.lit(0)))
-    every = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy("_slice")
-        .agg(F.sum(weight_col).alias("_slice_total"))
-        .withColumns(
-            {
-                "_offset": F.coalesce(F.sum("_slice_total").over(earlier), F.lit(0)),
-                "_total": F.sum("_slice_total").over(every),
-            }
-        )
-        .drop("_slice_total")
-    )
-    return (
-        local.join(F.broadcast(offsets), "_slice")
-        .withColumn("_before", F.col("_offset") + F.col("_local"))
-        .drop("_slice", "_local", "_offset")
-    )
-
-
-def percent_rank_over(
-    df: DataFrame,
-    value_col: str,
-    out_col: str,
-    slices: int | None = None,
-) -> DataFrame:
-    """Add ``out_col`` = PERCENT_RANK() OVER (ORDER BY value_col) over all rows.
-
-    rank − 1 is the number of rows with a smaller value, so the rank of a value
-    is the running count of the distinct values before it. Distinct values are
-    counted with a partial aggregate, ranked with :func:`prefix_sums`, and
-    joined back; ties never straddle slices because each value is one row.
-    """
-    values = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = prefix_sums(values, value_col, "_n", slices)
-    pr = F.when(F.col("_total") <= 1, F.lit(0.0)).otherwise(F.col("_before") / (F.col("_total") - 1))
-    ranked = ranked.select(F.col(value_col).alias("_v"), pr.alias(out_col))
-    return df.join(ranked, df[value_col].eqNullSafe(ranked["_v"]), "left").drop("_v")
+    in_bucket = Window.partitionBy("_bucket").orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
+    placed = values.withColumn("_within", F.coalesce(F.sum("_n").over(in_bucket), F.lit(0))).join(totals, "_bucket")
+    rank = F.when(F.col("_all") > 1, (F.col("_base") + F.col("_within")) / (F.col("_all") - 1)).otherwise(F.lit(0.0))
+    cuts = [F.min(F.when(rank >= floor, value)).alias(f"c{i}") for i, floor in enumerate(floors)]
+    return placed.agg(F.struct(*cuts)).scalar()

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiffin.functions.semantics import count_true, safe_divide
+from tiffin.operators.orders import sla_threshold
 
 # Fixed values of the courier tier rule.
 GOLD_UNDERPERFORMING_RATE = 0.30
@@ -47,10 +48,14 @@ def op_restaurant_stats(orders: DataFrame) -> DataFrame:
 
 
 def op_courier_stats(orders: DataFrame) -> DataFrame:
-    """Per courier, all statuses; total_orders is a distinct order count."""
+    """Per courier, all statuses; total_orders is a distinct order count.
+
+    Two distinct counts over different columns in one aggregate would copy every order
+    (Expand), so distinct orders are counted on their own narrow columns.
+    """
     delivered = count_true(_delivered())
-    return orders.groupBy("courier_id").agg(
-        F.count_distinct("order_id").alias("total_orders"),
+    distinct = orders.groupBy(F.col("courier_id").alias("_courier")).agg(F.count_distinct("order_id").alias("total_orders"))
+    stats = orders.groupBy("courier_id").agg(
         delivered.alias("delivered_orders"),
         count_true(F.col("order_status") != DELIVERED).alias("cancelled_orders"),
         count_true(F.col("is_cancelled_by_driver")).alias("cancelled_by_driver"),
@@ -63,6 +68,9 @@ def op_courier_stats(orders: DataFrame) -> DataFrame:
         F.round(F.sum(_when_delivered("courier_commission")), 0).alias("total_commission_earned"),
         F.count_distinct("customer_id").alias("unique_customers_served"),
     )
+    return stats.join(distinct, stats["courier_id"].eqNullSafe(distinct["_courier"])).select(
+        "courier_id", "total_orders", *[c for c in stats.columns if c != "courier_id"]
+    )
 
 
 def courier_vs_tier(tier: Column, breach_rate: Column) -> Column:
@@ -79,32 +87,31 @@ def op_courier_vs_tier(couriers_with_stats: DataFrame) -> DataFrame:
     )
 
 
-def op_party_avgs(delivered: DataFrame, basis: DataFrame | None = None) -> DataFrame:
-    """Mean prep per restaurant and mean ride per courier, joined to every
-    delivered order.
+def party_averages(delivered: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Mean prep per restaurant and mean ride per courier: one row a party, a null party being one group."""
+    prep = F.round(F.avg("prep_time_mins"), 1).alias("restaurant_avg_prep_mins")
+    ride = F.round(F.avg("courier_ride_mins"), 1).alias("courier_avg_ride_mins")
+    return delivered.groupBy("restaurant_id").agg(prep), delivered.groupBy("courier_id").agg(ride)
+
+
+def op_party_avgs(delivered: DataFrame) -> DataFrame:
+    """Mean prep per restaurant and mean ride per courier, joined to every delivered order.
 
-    Same values as ``avg() OVER (PARTITION BY party)`` over ``basis``
-    (default: ``delivered`` itself), but computed as two partial aggregates
-    joined back: the windows would shuffle the wide rows twice and put a hot
-    restaurant in one task. The per-party tables have one row per party; AQE
-    broadcasts them when they are small. A NULL party is one group for a
-    window, hence the null-safe join.
+    Same values as ``avg() OVER (PARTITION BY party)``, but computed as two partial
+    aggregates joined back: the windows would shuffle the rows twice and put a hot
+    restaurant in one task. A NULL party is one group for a window, hence the null-safe
+    join. Wide rows should be joined to party tables that hold the averages already.
     """
-    basis = delivered if basis is None else basis
-    rest = basis.groupBy("restaurant_id").agg(
-        F.round(F.avg("prep_time_mins"), 1).alias("restaurant_avg_prep_mins")
-    ).withColumnRenamed("restaurant_id", "_rid")
-    cour = basis.groupBy("courier_id").agg(
-        F.round(F.avg("courier_ride_mins"), 1).alias("courier_avg_ride_mins")
-    ).withColumnRenamed("courier_id", "_cid")
-    out = delivered.join(rest, delivered["restaurant_id"].eqNullSafe(rest["_rid"]), "left")
-    out = out.join(cour, out["courier_id"].eqNullSafe(cour["_cid"]), "left")
+    prep, ride = party_averages(delivered)
+    prep, ride = prep.withColumnRenamed("restaurant_id", "_rid"), ride.withColumnRenamed("courier_id", "_cid")
+    out = delivered.join(prep, delivered["restaurant_id"].eqNullSafe(prep["_rid"]), "left")
+    out = out.join(ride, out["courier_id"].eqNullSafe(ride["_cid"]), "left")
     return out.drop("_rid", "_cid")
 
 
 def op_delivery_metrics(df: DataFrame) -> DataFrame:
     km, total = F.col("delivery_distance_km"), F.col("total_delivery_mins")
-    limit = F.lit(30) + km * 3
+    limit = sla_threshold(km)
     return df.withColumns(
         {
             "sla_threshold_mins": F.round(limit, 1),

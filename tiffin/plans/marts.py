@@ -19,6 +19,7 @@ from tiffin.operators import scorecards as sc
 
 CONTRACT, AS_WRITTEN = "contract", "as_written"
 
+# The output columns of each mart, in model order.
 DIM_USERS_COLUMNS = [
     "customer_id", "city", "gender", "registered_at", "phone_number", "customer_segment", "r_score",
     "f_score", "m_score", "rfm_total", "recency_days", "first_channel", "first_campaign",
@@ -110,10 +111,10 @@ def fact_channel_performance(funnel: DataFrame, orders: DataFrame, events: DataF
 
 # ---------------------------------------------------------------- users
 
-def user_scores(orders: DataFrame, slices: int | None = None) -> DataFrame:
+def user_scores(orders: DataFrame) -> DataFrame:
     """Per customer with a delivered order: activity, r/f/m scores, segment."""
     activity = cu.customer_activity(cu.delivered_orders(orders))
-    return cu.op_segment(cu.op_rfm_scores(activity, slices))
+    return cu.op_segment(cu.op_rfm_scores(activity))
 
 
 def _with_no_order_defaults(df: DataFrame) -> DataFrame:
@@ -122,42 +123,42 @@ def _with_no_order_defaults(df: DataFrame) -> DataFrame:
     )
 
 
-def dim_users(users: DataFrame, orders: DataFrame, grain: str = CONTRACT, slices: int | None = None) -> DataFrame:
-    if grain == AS_WRITTEN:
-        return _dim_users_as_written(users, orders, slices)
-    joined = users.join(user_scores(orders, slices), "customer_id", "left")
-    return _with_no_order_defaults(joined).select(*DIM_USERS_COLUMNS)
+def customer_context(users: DataFrame, orders: DataFrame) -> DataFrame:
+    """One row per user or customer with a delivered order: the dim_users columns
+    (null for customers who aren't users), is_user, and the churn tier (null
+    without a delivered order).
+
+    One aggregate of the delivered orders gives scores and churn counts alike; the
+    order facts join this table once.
+    """
+    scores = user_scores(orders)
+    known = users.withColumn("is_user", F.lit(True))
+    ctx = _with_no_order_defaults(known.join(scores, "customer_id", "full"))
+    ctx = ctx.withColumns({c: F.when(F.col("is_user"), F.col(c)) for c in USER_CONTEXT_COLUMNS})
+    tier = F.when(
+        F.col("delivered_orders").isNotNull(),
+        cu.churn_tier(F.col("customer_segment"), F.col("sla_breaches"), F.col("delivered_orders")),
+    )
+    return ctx.withColumn("churn_risk_tier", tier).select(*DIM_USERS_COLUMNS, "is_user", "churn_risk_tier")
+
+
+def dim_users(context: DataFrame) -> DataFrame:
+    """The users of a :func:`customer_context`."""
+    return context.filter("is_user").select(*DIM_USERS_COLUMNS)
 
 
-def _dim_users_as_written(users: DataFrame, orders: DataFrame, slices: int | None) -> DataFrame:
+def dim_users_as_written(users: DataFrame, orders: DataFrame) -> DataFrame:
     """RFM scored per delivered order (ranked over order rows), so a customer
     appears once per delivered order."""
     delivered = cu.delivered_orders(orders)
     activity = cu.customer_activity(delivered)
-    window = activity.filter(F.col("orders_in_90d") > 0).select("customer_id", "orders_in_90d", "gmv_in_90d")
-    recency = activity.select("customer_id", "recency_days", cu.r_score(F.col("recency_days")).alias("r_score"))
-    rows = (
-        delivered.select("customer_id")
-        .join(window, "customer_id", "left")
-        .join(recency, "customer_id", "left")
-        .withColumns(
-            {
-                "orders_in_90d": F.coalesce("orders_in_90d", F.lit(0)),
-                "gmv_in_90d": F.coalesce("gmv_in_90d", F.lit(0.0)),
-            }
-        )
-    )
-    ranked = cu.percent_rank_over(rows, "gmv_in_90d", "_pct", slices)
-    segmented = cu.op_segment(
-        ranked.withColumns({"f_score": cu.f_score(F.col("orders_in_90d")), "m_score": cu.m_score(F.col("_pct"))})
+    scored = activity.withColumns(
+        {"r_score": cu.r_score(F.col("recency_days")), "f_score": cu.f_score(F.col("orders_in_90d"))}
     )
-    first_touch = activity.select("customer_id", "first_channel", "first_campaign", "first_order_date", "last_order_date")
-    joined = users.join(
-        segmented.select("customer_id", "customer_segment", "r_score", "f_score", "m_score", "rfm_total", "recency_days"),
-        "customer_id",
-        "left",
-    ).join(first_touch, "customer_id", "left")
-    return _with_no_order_defaults(joined).select(*DIM_USERS_COLUMNS)
+    rows = delivered.select("customer_id").join(scored, "customer_id", "left")
+    rows = rows.withColumn("gmv_in_90d", F.coalesce("gmv_in_90d", F.lit(0.0)))
+    segmented = cu.op_segment(rows.withColumn("m_score", cu.m_score(rows.select("gmv_in_90d"), "gmv_in_90d")))
+    return _with_no_order_defaults(users.join(segmented, "customer_id", "left")).select(*DIM_USERS_COLUMNS)
 
 
 def churn_counts(orders: DataFrame) -> DataFrame:
@@ -172,31 +173,16 @@ def churn_counts(orders: DataFrame) -> DataFrame:
     )
 
 
-def user_context(dim: DataFrame, orders: DataFrame) -> DataFrame:
-    """One row per customer in dim_users or with a delivered order: the
-    dim_users columns (NULL for non-users) and the churn tier (NULL without a
-    delivered order). Both inputs are unique on customer_id, so orders join it
-    once instead of joining dim_users and the churn table separately."""
-    ctx = dim.select("customer_id", *USER_CONTEXT_COLUMNS).join(churn_counts(orders), "customer_id", "full")
-    tier = F.when(
-        F.col("delivered_orders").isNotNull(),
-        cu.churn_tier(F.col("customer_segment"), F.col("sla_breaches"), F.col("delivered_orders")),
-    )
-    return ctx.withColumn("churn_risk_tier", tier).select("customer_id", *USER_CONTEXT_COLUMNS, "churn_risk_tier")
-
-
-def fact_user_metrics(orders: DataFrame, dim: DataFrame, fx: DataFrame, grain: str = CONTRACT) -> DataFrame:
-    """Orders with user context, churn tier and USD amounts; ``dim`` is dim_users
-    of the same grain."""
-    if grain == AS_WRITTEN:
-        return _fact_user_metrics_as_written(orders, dim, fx)
-    joined = orders.join(user_context(dim, orders), "customer_id", "left").withColumn(
+def fact_user_metrics(orders: DataFrame, context: DataFrame, fx: DataFrame) -> DataFrame:
+    """Orders with user context, churn tier and USD amounts."""
+    ctx = context.select("customer_id", *USER_CONTEXT_COLUMNS, "churn_risk_tier")
+    joined = orders.join(ctx, "customer_id", "left").withColumn(
         "churn_risk_tier", F.coalesce("churn_risk_tier", F.lit("LOW"))
     )
     return cu.op_fx_convert(joined, fx).select(*FACT_USER_METRICS_COLUMNS)
 
 
-def _fact_user_metrics_as_written(orders: DataFrame, dim: DataFrame, fx: DataFrame) -> DataFrame:
+def fact_user_metrics_as_written(orders: DataFrame, dim: DataFrame, fx: DataFrame) -> DataFrame:
     """The SQL's joins against a dim_users with one row per delivered order:
     churn counts and order rows are both multiplied by that fan-out."""
     dim = dim.select("customer_id", *USER_CONTEXT_COLUMNS)
@@ -215,23 +201,9 @@ def _fact_user_metrics_as_written(orders: DataFrame, dim: DataFrame, fx: DataFra
     return cu.op_fx_convert(joined, fx).select(*FACT_USER_METRICS_COLUMNS)
 
 
-def customer_tiers(source: DataFrame, grain: str = CONTRACT, from_fact: bool = True) -> DataFrame:
-    """(customer_id, customer_segment, churn_risk_tier) as the order facts read
-    them from fact_user_metrics.
-
-    ``from_fact``: ``source`` is fact_user_metrics (distinct under the
-    contract; every row as written). Otherwise ``source`` is a
-    :func:`user_context`, which has the same rows without building the fact.
-    """
-    cols = ["customer_id", "customer_segment", "churn_risk_tier"]
-    if not from_fact:
-        return source.select(*cols)
-    return source.select(*cols).distinct() if grain == CONTRACT else source.select(*cols)
-
-
 # ---------------------------------------------------------------- order facts
 
-def _order_dimensions(orders: DataFrame, restaurants: DataFrame, couriers: DataFrame) -> DataFrame:
+def _party_columns(restaurants: DataFrame, couriers: DataFrame) -> tuple[DataFrame, DataFrame]:
     rest = restaurants.select(
         "restaurant_id",
         "restaurant_name",
@@ -245,36 +217,63 @@ def _order_dimensions(orders: DataFrame, restaurants: DataFrame, couriers: DataF
         "courier_tier",
         F.col("rating").alias("courier_rating"),
     )
+    return rest, cour
+
+
+def _order_dimensions(orders: DataFrame, restaurants: DataFrame, couriers: DataFrame) -> DataFrame:
+    rest, cour = _party_columns(restaurants, couriers)
     return orders.join(rest, "restaurant_id", "left").join(cour, "courier_id", "left")
 
 
-def _join_tiers(df: DataFrame, tiers: DataFrame, grain: str) -> DataFrame:
+TIER_COLUMNS = ["customer_id", "customer_segment", "churn_risk_tier"]
+
+
+def _join_tiers(df: DataFrame, context: DataFrame) -> DataFrame:
     # Every order with a customer_id has a fact_user_metrics row whose tier
     # defaults to LOW; an order without one matches nothing.
-    joined = df.join(tiers, "customer_id", "left")
-    if grain == AS_WRITTEN:
-        return joined
+    joined = df.join(context.select(*TIER_COLUMNS), "customer_id", "left")
     return joined.withColumn(
         "churn_risk_tier", F.when(F.col("customer_id").isNotNull(), F.coalesce("churn_risk_tier", F.lit("LOW")))
     )
 
 
-def fact_orders(
-    orders: DataFrame, restaurants: DataFrame, couriers: DataFrame, tiers: DataFrame, grain: str = CONTRACT
-) -> DataFrame:
-    """Wide order fact; ``tiers`` from :func:`customer_tiers`."""
-    joined = _join_tiers(_order_dimensions(orders, restaurants, couriers), tiers, grain)
-    return joined.select(*FACT_ORDERS_COLUMNS)
+def fact_orders(orders: DataFrame, restaurants: DataFrame, couriers: DataFrame, context: DataFrame) -> DataFrame:
+    """Wide order fact; ``context`` is a :func:`customer_context`."""
+    return _join_tiers(_order_dimensions(orders, restaurants, couriers), context).select(*FACT_ORDERS_COLUMNS)
+
 
+def fact_delivery(orders: DataFrame, restaurants: DataFrame, couriers: DataFrame, context: DataFrame) -> DataFrame:
+    """Delivered orders against SLA and per-party averages.
 
-def fact_delivery(
-    orders: DataFrame, restaurants: DataFrame, couriers: DataFrame, tiers: DataFrame, grain: str = CONTRACT
-) -> DataFrame:
-    """Delivered orders against SLA and per-party averages; ``tiers`` from :func:`customer_tiers`."""
+    The averages are joined to the party tables first (null parties are a group of
+    their own), so the wide rows pass three joins: restaurant, courier, customer.
+    """
     delivered = cu.delivered_orders(orders)
-    joined = _join_tiers(_order_dimensions(delivered, restaurants, couriers), tiers, grain)
-    # Under the contract every join above is one-to-one, so the peer averages
-    # come from the narrow delivered orders; as written the fanned-out rows
-    # are the averaging basis.
-    basis = delivered if grain == CONTRACT else joined
-    return sc.op_delivery_metrics(sc.op_party_avgs(joined, basis)).select(*FACT_DELIVERY_COLUMNS)
+    prep, ride = sc.party_averages(delivered)
+    rest, cour = _party_columns(restaurants, couriers)
+    rest = _with_average(rest, prep, "restaurant_id")
+    cour = _with_average(cour, ride, "courier_id")
+    joined = delivered.join(rest, delivered["restaurant_id"].eqNullSafe(rest["_party_restaurant_id"]), "left")
+    joined = joined.join(cour, joined["courier_id"].eqNullSafe(cour["_party_courier_id"]), "left")
+    return sc.op_delivery_metrics(_join_tiers(joined, context)).select(*FACT_DELIVERY_COLUMNS)
+
+
+def _with_average(party: DataFrame, average: DataFrame, key: str) -> DataFrame:
+    """Parties and averages by ``_party_<key>``; a party without an id describes no order, but null orders have an average."""
+    party = party.filter(F.col(key).isNotNull())
+    avg = average.withColumnRenamed(key, "_key")
+    both = party.join(avg, party[key].eqNullSafe(avg["_key"]), "full")
+    return both.withColumn(f"_party_{key}", F.coalesce(key, "_key")).drop(key, "_key")
+
+
+def fact_orders_as_written(orders: DataFrame, restaurants: DataFrame, couriers: DataFrame, metrics: DataFrame) -> DataFrame:
+    """The SQL's join to every fact_user_metrics row of the customer; for tests on small inputs."""
+    joined = _order_dimensions(orders, restaurants, couriers).join(metrics.select(*TIER_COLUMNS), "customer_id", "left")
+    return joined.select(*FACT_ORDERS_COLUMNS)
+
+
+def fact_delivery_as_written(orders: DataFrame, restaurants: DataFrame, couriers: DataFrame, metrics: DataFrame) -> DataFrame:
+    """As :func:`fact_orders_as_written`; the multiplied rows are the basis of the averages."""
+    joined = _order_dimensions(cu.delivered_orders(orders), restaurants, couriers)
+    joined = joined.join(metrics.select(*TIER_COLUMNS), "customer_id", "left")
+    return sc.op_delivery_metrics(sc.op_party_avgs(joined)).select(*FACT_DELIVERY_COLUMNS)

@@ -1,13 +1,16 @@
 """All models over one set of raw sources, built lazily.
 
 ``Models(raw)`` exposes each staging model and mart as a method returning a
-lazy DataFrame; nothing runs until an action. ``build`` writes the marts level
-by level (a written table is the lineage cut between levels, and a level-3
-mart reads the written level-2 table instead of recomputing it).
+lazy DataFrame; nothing runs until an action. ``build`` registers the staging
+models as views, writes stg_orders (which several marts read) and the customer
+context, and writes the marts as tables, level by level; a written table is the
+lineage cut between levels.
 """
 
 from __future__ import annotations
 
+import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -15,17 +18,14 @@ from pyspark.sql import DataFrame
 from tiffin.plans import marts as mt
 from tiffin.plans import staging as st
 from tiffin.sources.fixtures import RawSources
-from tiffin.sources.sinks import MART_LAYOUT, register_view, write_table
+from tiffin.sources.sinks import MART_LAYOUT, SCHEMA, register_view, write_named_table, write_table
 from tiffin.sources.tables import SourceTables
 
 
 @dataclass
 class Models:
     raw: RawSources | SourceTables  # any object with one method per raw source
-    grain: str = mt.CONTRACT
-    slices: int | None = None
     overrides: dict[str, DataFrame] = field(default_factory=dict)
-    materialized: set[str] = field(default_factory=set)
 
     def _get(self, name: str, make) -> DataFrame:
         if name not in self.overrides:
@@ -34,7 +34,13 @@ class Models:
 
     # staging
     def stg_orders(self) -> DataFrame:
-        return self._get("stg_orders", lambda: st.stg_orders(self.raw.orders(), self.slices))
+        return self._get("stg_orders", lambda: st.stg_orders(self.raw.orders()))
+
+    def enriched_orders(self) -> DataFrame:
+        """stg_orders for models that don't read the customer's order number."""
+        if "stg_orders" in self.overrides:
+            return self.overrides["stg_orders"]
+        return self._get("enriched_orders", lambda: st.enriched_orders(self.raw.orders()))
 
     def stg_events(self) -> DataFrame:
         return self._get("stg_events", lambda: st.stg_events(self.raw.events()))
@@ -57,17 +63,19 @@ class Models:
     def stg_exchange_rates(self) -> DataFrame:
         return self._get("stg_exchange_rates", lambda: st.stg_exchange_rates(self.raw.exchange_rates_usd()))
 
+    # customers, once for all marts
+    def customer_context(self) -> DataFrame:
+        return self._get("customer_context", lambda: mt.customer_context(self.stg_users(), self.enriched_orders()))
+
     # marts
     def dim_users(self) -> DataFrame:
-        return self._get(
-            "dim_users", lambda: mt.dim_users(self.stg_users(), self.stg_orders(), self.grain, self.slices)
-        )
+        return self._get("dim_users", lambda: mt.dim_users(self.customer_context()))
 
     def dim_restaurants(self) -> DataFrame:
-        return self._get("dim_restaurants", lambda: mt.dim_restaurants(self.stg_restaurants(), self.stg_orders()))
+        return self._get("dim_restaurants", lambda: mt.dim_restaurants(self.stg_restaurants(), self.enriched_orders()))
 
     def dim_couriers(self) -> DataFrame:
-        return self._get("dim_couriers", lambda: mt.dim_couriers(self.stg_couriers(), self.stg_orders()))
+        return self._get("dim_couriers", lambda: mt.dim_couriers(self.stg_couriers(), self.enriched_orders()))
 
     def fact_funnel(self) -> DataFrame:
         return self._get("fact_funnel", lambda: mt.fact_funnel(self.stg_events()))
@@ -75,22 +83,14 @@ class Models:
     def fact_user_metrics(self) -> DataFrame:
         return self._get(
             "fact_user_metrics",
-            lambda: mt.fact_user_metrics(self.stg_orders(), self.dim_users(), self.stg_exchange_rates(), self.grain),
+            lambda: mt.fact_user_metrics(self.stg_orders(), self.customer_context(), self.stg_exchange_rates()),
         )
 
-    def customer_tiers(self) -> DataFrame:
-        """Segment and churn tier per customer as the order facts read them:
-        from the written fact_user_metrics when it exists, else from the
-        customer-level context (same rows, without building the order fact)."""
-        if "fact_user_metrics" in self.materialized or self.grain == mt.AS_WRITTEN:
-            return mt.customer_tiers(self.fact_user_metrics(), self.grain)
-        return mt.customer_tiers(mt.user_context(self.dim_users(), self.stg_orders()), self.grain, from_fact=False)
-
     def fact_orders(self) -> DataFrame:
         return self._get(
             "fact_orders",
             lambda: mt.fact_orders(
-                self.stg_orders(), self.stg_restaurants(), self.stg_couriers(), self.customer_tiers(), self.grain
+                self.stg_orders(), self.stg_restaurants(), self.stg_couriers(), self.customer_context()
             ),
         )
 
@@ -98,7 +98,7 @@ class Models:
         return self._get(
             "fact_delivery",
             lambda: mt.fact_delivery(
-                self.stg_orders(), self.stg_restaurants(), self.stg_couriers(), self.customer_tiers(), self.grain
+                self.enriched_orders(), self.stg_restaurants(), self.stg_couriers(), self.customer_context()
             ),
         )
 
@@ -109,52 +109,81 @@ class Models:
         )
 
 
-# Heaviest first within a level, so the longest model starts first.
+class AsWritten(Models):
+    """The models with the SQL's fan-out, row for row: dim_users has a row for each delivered order, and
+    what joins it multiplies. dim_users grows with the orders; the facts with the square of a customer's
+    orders and more, so they are for tests on small inputs."""
+
+    def dim_users(self) -> DataFrame:
+        return self._get("dim_users", lambda: mt.dim_users_as_written(self.stg_users(), self.enriched_orders()))
+
+    def fact_user_metrics(self) -> DataFrame:
+        return self._get(
+            "fact_user_metrics",
+            lambda: mt.fact_user_metrics_as_written(self.stg_orders(), self.dim_users(), self.stg_exchange_rates()),
+        )
+
+    def fact_orders(self) -> DataFrame:
+        return self._get(
+            "fact_orders",
+            lambda: mt.fact_orders_as_written(
+                self.stg_orders(), self.stg_restaurants(), self.stg_couriers(), self.fact_user_metrics()
+            ),
+        )
+
+    def fact_delivery(self) -> DataFrame:
+        return self._get(
+            "fact_delivery",
+            lambda: mt.fact_delivery_as_written(
+                self.enriched_orders(), self.stg_restaurants(), self.stg_couriers(), self.fact_user_metrics()
+            ),
+        )
+
+
 STAGING = [
     "stg_orders", "stg_order_items", "stg_events", "stg_sessions",
     "stg_users", "stg_restaurants", "stg_couriers", "stg_exchange_rates",
 ]
-# Build levels: a level reads only models of lower levels.
-MART_LEVELS = [
-    ["dim_users", "fact_funnel", "dim_restaurants", "dim_couriers"],
-    ["fact_user_metrics", "fact_channel_performance"],
-    ["fact_delivery", "fact_orders"],
+# Build levels: a level reads only what lower levels wrote. Heaviest first within a level.
+LEVELS = [
+    ["stg_orders"],
+    ["customer_context", "fact_funnel", "dim_restaurants", "dim_couriers"],
+    ["fact_delivery", "fact_orders", "fact_user_metrics", "fact_channel_performance", "dim_users"],
 ]
 
 
 def build(
-    models: Models, out_dir: str, timings: dict[str, float] | None = None, concurrency: int = 4
+    models: Models, out_dir: str, timings: dict[str, float] | None = None, concurrency: int = 4, schema: str = SCHEMA
 ) -> dict[str, str]:
-    """Write every staging model and mart under ``out_dir``, level by level.
-
-    Staging tables are written once (several marts read stg_orders), and each
-    later level reads the written tables of the levels before it, as the
-    warehouse build does. Models of one level do not depend on each other and
-    are submitted ``concurrency`` at a time (the warehouse build's thread
-    count); Spark interleaves their jobs. A written table is the lineage cut:
-    a lost executor re-runs at most the current level's tasks. ``timings``
-    receives the seconds spent writing each model.
+    """Register the staging views and write the marts as tables ``schema``.name under ``out_dir``.
+
+    stg_orders and the customer context are written once, as several marts read them; the
+    other staging models stay views over their sources. Models of one level do not depend on
+    each other and are submitted ``concurrency`` at a time (the warehouse build's thread
+    count); Spark interleaves their jobs. A written table is the lineage cut: a lost
+    executor re-runs at most the current level's tasks. ``timings`` receives the seconds
+    spent writing each table. Returns the tables' folders.
     """
-    import time
-    from concurrent.futures import ThreadPoolExecutor
-
     spark = models.raw.spark
-    paths: dict[str, str] = {name: f"{out_dir.rstrip('/')}/{name}" for level in [STAGING, *MART_LEVELS] for name in level}
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    paths = {name: f"{out_dir.rstrip('/')}/{name}" for level in LEVELS for name in level}
 
     def write(name: str) -> tuple[str, float]:
-        partition_by, cluster_by = MART_LAYOUT.get(name, (None, ()))
         t0 = time.perf_counter()
-        write_table(getattr(models, name)(), paths[name], partition_by, cluster_by)
+        df = getattr(models, name)()
+        if name in MART_LAYOUT:
+            write_named_table(df, f"{schema}.{name}", paths[name], *MART_LAYOUT[name])
+        else:
+            write_table(df, paths[name])
         return name, round(time.perf_counter() - t0, 3)
 
-    for level in [STAGING, *MART_LEVELS]:
+    for level in LEVELS:
         with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
             for name, seconds in pool.map(write, level):
                 if timings is not None:
                     timings[name] = seconds
         for name in level:
             models.overrides[name] = spark.read.parquet(paths[name])
-            models.materialized.add(name)
     for name in STAGING:
-        register_view(models.overrides[name], name)
+        register_view(getattr(models, name)(), name)
     return paths

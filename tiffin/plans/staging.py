@@ -1,7 +1,8 @@
 """Staging models: typed, cleaned and enriched views over the raw sources.
 
 Every function takes the raw source DataFrame (text or typed columns) and
-returns a lazy plan; casts are no-ops when the input is already typed.
+returns a lazy plan; casts are no-ops when the input is already typed. Timestamps
+become zone-less UTC, whether they come as text, zone-less or zoned.
 """
 
 from __future__ import annotations
@@ -9,19 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiffin.functions.semantics import is_weekend_day, nullif_empty
+from tiffin.functions.semantics import is_weekend_day, nullif_empty, utc_timestamp
 from tiffin.operators import funnel as fn
 from tiffin.operators import orders as od
 
-TS = "timestamp_ntz"
-
-
 def stg_couriers(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.col("courier_id").cast("long").alias("courier_id"),
         "city",
         "vehicle_type",
-        F.col("joined_at").cast(TS).alias("joined_at"),
+        utc_timestamp(raw, "joined_at"),
         "courier_tier",
         F.col("rating").cast("double").alias("rating"),
     )
@@ -54,14 +52,14 @@ def stg_users(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.col("customer_id").cast("long").alias("customer_id"),
         "city",
-        F.col("registered_at").cast(TS).alias("registered_at"),
+        utc_timestamp(raw, "registered_at"),
         "gender",
         "phone_number",
     )
 
 
 def stg_sessions(raw: DataFrame) -> DataFrame:
-    start = F.col("session_start_at").cast(TS)
+    start = utc_timestamp(raw, "session_start_at")
     return raw.select(
         F.col("session_id").cast("long").alias("session_id"),
         F.col("user_id").cast("long").alias("user_id"),
@@ -95,7 +93,7 @@ STG_EVENTS_COLUMNS = [
 
 
 def stg_events(raw: DataFrame) -> DataFrame:
-    ts = F.col("event_timestamp").cast(TS)
+    ts = utc_timestamp(raw, "event_timestamp")
     typed = raw.select(
         F.col("event_id").cast("long").alias("event_id"),
         F.col("session_id").cast("long").alias("session_id"),
@@ -114,7 +112,7 @@ def stg_events(raw: DataFrame) -> DataFrame:
 
 
 def typed_orders(raw: DataFrame) -> DataFrame:
-    """The typing step of stg_orders (timestamps pass through as delivered)."""
+    """The typing step of stg_orders."""
     return raw.select(
         *[F.col(c).cast("long").alias(c) for c in ("order_id", "session_id", "customer_id", "restaurant_id", "courier_id")],
         "channel",
@@ -125,10 +123,7 @@ def typed_orders(raw: DataFrame) -> DataFrame:
         "destination_name",
         F.col("delivery_distance_km").cast("double").alias("delivery_distance_km"),
         "order_type",
-        "placed_at",
-        "food_ready_at",
-        "picked_up_at",
-        "delivered_at",
+        *[utc_timestamp(raw, c) for c in ("placed_at", "food_ready_at", "picked_up_at", "delivered_at")],
         "order_status",
         nullif_empty("cancel_note").alias("cancel_note"),
         F.col("food_price").cast("double").alias("food_price"),
@@ -136,12 +131,20 @@ def typed_orders(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_orders(raw: DataFrame, slices: int | None = None) -> DataFrame:
-    """Typed orders through the nine order operators; 47 columns."""
+def enriched_orders(raw: DataFrame) -> DataFrame:
+    """stg_orders without the customer's order number: one projection of the orders, no shuffle.
+
+    What doesn't read user_order_number or is_first_order builds on this, as the plan for
+    the number stays even where nobody reads it.
+    """
     df = typed_orders(raw)
     for op in (od.op_calendar, od.op_time_slot, od.op_order_type, od.op_cancel_attribution, od.op_durations):
         df = op(df)
-    df = od.op_order_sequence(df, slices)
     for op in (od.op_pricing, od.op_sla_classify, od.op_bottleneck):
         df = op(df)
-    return df.select(*od.STG_ORDERS_COLUMNS)
+    return df
+
+
+def stg_orders(raw: DataFrame) -> DataFrame:
+    """Typed orders through the nine order operators; 47 columns."""
+    return od.op_order_sequence(enriched_orders(raw)).select(*od.STG_ORDERS_COLUMNS)

@@ -6,8 +6,6 @@ Library code never creates or reconfigures a session: plans take the caller's
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings the plans rely on. AQE re-plans joins at runtime (a shuffle join
@@ -39,22 +37,4 @@ def local_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster the deployment sets ``spark.checkpoint.dir`` and Spark
-    registers it with the context at start-up; it is only read here. When
-    nothing is configured (local tests) a scratch folder is registered with
-    the context (the conf itself cannot be changed at runtime).
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    path = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tiffin-ckpt-")
-    sc.setCheckpointDir(path)
-    return path

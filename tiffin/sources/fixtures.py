@@ -57,10 +57,14 @@ EVENT_NAMES = {
     ("error", 2): ("app_error", "error"),
     ("error", 3): ("app_error", "error"),
 }
+# 21/64 km past a whole one: an SLA limit of 0.984375 past a whole minute, which rounds up to the next.
+NEAR_MINUTE_KM = 0.328125
 PLACED_EPOCH = "2024-01-01 00:00:00"
 ORDERDATE_EPOCH = "1995-01-01"
 REGISTERED_EPOCH = "2023-01-01 00:00:00"
 JOINED_EPOCH = "2022-01-01 00:00:00"
+# A session is a user's day: user * SESSION_DAYS + days since DAY_EPOCH (below SESSION_DAYS until 2243).
+DAY_EPOCH, SESSION_DAYS = "1970-01-01", 100_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -126,6 +130,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 2 == 0, F.lit("ios")).otherwise(F.lit("android")).alias("device"),
         F.concat(F.lit("zone_"), (k % 10).cast("string")).alias("destination_name"),
         F.when(k % 97 == 0, F.lit(None).cast("double"))
+        .when(k % 13 == 0, F.floor((1 + k * 31 % 60) / 4).cast("double") + F.lit(NEAR_MINUTE_KM))
         .otherwise((1 + k * 31 % 60).cast("double") * F.lit(0.25))
         .alias("delivery_distance_km"),
         F.when(k % 5 == 0, F.lit("priority")).when(k % 5 == 1, F.lit("saver")).otherwise(F.lit("regular")).alias("order_type"),
@@ -190,7 +195,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     attrs = _user_attributes(u, F.col("_city"))
     return mapped.select(
         e.alias("event_id"),
-        (u * 1000 + F.dayofmonth("ts")).cast("long").alias("session_id"),
+        (u * SESSION_DAYS + F.datediff(F.to_date("ts"), F.lit(DAY_EPOCH).cast("date"))).cast("long").alias("session_id"),
         u.alias("user_id"),
         F.col("ts").alias("event_timestamp"),
         "event_name",
@@ -207,7 +212,7 @@ def raw_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One session per user and day: start = first event; attributes follow the user."""
     starts = raw_events(spark, sf_dir).groupBy("session_id").agg(F.min("event_timestamp").alias("session_start_at"))
     nation = _nation_names(read_table(spark, sf_dir, "nation"), "_nk", "_city")
-    u = F.floor(F.col("session_id") / 1000).cast("long")
+    u = F.floor(F.col("session_id") / SESSION_DAYS).cast("long")
     with_user = starts.withColumn("user_id", u).withColumn("_nk", u % 4).join(nation, "_nk", "left")
     attrs = _user_attributes(F.col("user_id"), F.col("_city"))
     return with_user.select(
@@ -268,8 +273,8 @@ def raw_couriers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One item per line that has a part; the line number repeats within an
-    order, so items are numbered by the full line content (skew-safe sequence,
-    see ranking) after the join, as the mapping's SQL numbers joined rows."""
+    order, so items are numbered by the full line content after the join (within
+    an order's line number, plus the order's earlier line numbers)."""
     lines = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
     )
@@ -280,9 +285,10 @@ def raw_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["l_orderkey"],
         ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"],
         "_line_seq",
+        F.col("l_linenumber"),
     )
     return numbered.select(
-        (F.col("l_orderkey") * 1000 + F.col("_line_seq")).alias("item_id"),
+        (F.col("l_orderkey") * 1_000_000 + F.col("_line_seq")).alias("item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("p_name").alias("item_name"),
         F.col("p_type").alias("cuisine_type"),

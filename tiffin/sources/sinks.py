@@ -1,4 +1,4 @@
-"""Sinks: staging models as temporary views, marts as Parquet tables.
+"""Sinks: staging models as temporary views, marts as named Parquet tables of one schema.
 
 Day-partitioned marts are written with ``partitionBy(date)`` so date filters
 prune folders, and rows are sorted within each task on (date, cluster keys),
@@ -18,31 +18,34 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def _laid_out(df: DataFrame, partition_by: str | None, cluster_by: Sequence[str]) -> DataFrame:
+    """With ``partition_by``, rows are rebalanced on the date (AQE splits a day that holds a
+    large share of the rows across several tasks and merges small ones, so neither one huge
+    task nor many tiny files), then sorted within each task on (date, *cluster_by)."""
+    if partition_by:
+        return df.hint("rebalance", F.col(partition_by)).sortWithinPartitions(partition_by, *cluster_by)
+    return df.sortWithinPartitions(*cluster_by) if cluster_by else df
+
+
 def write_table(
-    df: DataFrame,
-    path: str,
-    partition_by: str | None = None,
-    cluster_by: Sequence[str] = (),
-    mode: str = "overwrite",
+    df: DataFrame, path: str, partition_by: str | None = None, cluster_by: Sequence[str] = (), mode: str = "overwrite"
 ) -> None:
-    """Write ``df`` as Parquet.
-
-    With ``partition_by``, rows are rebalanced on the date (AQE splits a day
-    that holds a large share of the rows across several tasks and merges small
-    ones, so neither one huge task nor many tiny files), then sorted within
-    each task on (date, *cluster_by).
-    """
-    out = df
-    if partition_by:
-        out = out.hint("rebalance", F.col(partition_by)).sortWithinPartitions(partition_by, *cluster_by)
-    elif cluster_by:
-        out = out.sortWithinPartitions(*cluster_by)
-    writer = out.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    """Write ``df`` as Parquet under ``path``."""
+    writer = _laid_out(df, partition_by, cluster_by).write.mode(mode)
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+
+
+def write_named_table(
+    df: DataFrame, table: str, path: str, partition_by: str | None = None, cluster_by: Sequence[str] = ()
+) -> None:
+    """Write ``df`` as the external Parquet table ``table`` over ``path``; a table of that name is replaced."""
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
+    writer = _laid_out(df, partition_by, cluster_by).write.mode("overwrite").option("path", path)
+    (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(table)
 
 
+# The marts' schema.
+SCHEMA = "marts"
 # Partition and cluster settings of each mart.
 MART_LAYOUT = {
     "fact_orders": ("order_date", ("channel", "city", "order_status")),
