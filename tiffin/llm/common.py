@@ -16,7 +16,9 @@ import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
@@ -79,20 +81,29 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
 
-def with_row_keys(df: DataFrame) -> DataFrame:
-    """Adds ``_k0`` and ``_k1``, 128 bits of hash over all columns (but maps): equal rows have equal keys."""
+def with_row_keys(df: DataFrame, needed: list[str]) -> DataFrame:
+    """The rows of ``df`` as one column ``_row``, the ``needed`` columns, and ``_k0`` and ``_k1``.
+
+    The keys are 128 bits of hash over all columns (but maps): equal rows have equal
+    keys. As one column, the rows' own names can't clash with those of an operator.
+    """
     plain = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, MapType)]
     marked = [c for col in plain for c in (F.isnull(col), col)]
-    return df.withColumns({"_k0": F.xxhash64(F.lit(1), *marked), "_k1": F.xxhash64(F.lit(2), *marked)})
+    return df.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"),
+        *needed,
+        F.xxhash64(F.lit(1), *marked).alias("_k0"),
+        F.xxhash64(F.lit(2), *marked).alias("_k1"),
+    )
 
 
-def matched(df: DataFrame, chosen: DataFrame) -> DataFrame:
-    """``df`` (with row keys) joined with ``chosen`` (``_k0``, ``_k1``, ``rows`` and more, one row a key).
+def matched(keyed: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``_row`` of ``keyed`` with the columns of ``chosen`` (``_k0``, ``_k1``, ``rows`` and more, one row a key).
 
-    Equal rows of ``df`` become one; ``rows`` says how many there are, so that the pass that
+    Equal rows become one; ``rows`` says how many there are, so that the pass that
     makes them one is planned only where there are any.
     """
-    joined = df.join(chosen, ["_k0", "_k1"])
+    joined = keyed.select("_row", "_k0", "_k1").join(chosen, ["_k0", "_k1"])
     if not chosen.filter("rows > 1").isEmpty():
         joined = joined.dropDuplicates(["_k0", "_k1"])
     return joined
@@ -119,7 +130,7 @@ def map_texts(
     ``make()`` runs once in each task and returns a function from a list of texts
     (None for null) to a dict of columns named in ``schema``; ``keep`` columns pass
     through as they are. Batches are cut again so that one call sees at most about
-    ``at_once`` characters, which bounds what it makes whatever the batch size is.
+    ``at_once`` bytes of text, which bounds what it makes whatever the batch size is.
     """
     kept = df.select(*[F.col(c) for c in keep], F.col(text_col).alias("_text"))
     out = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]], schema])
@@ -127,9 +138,9 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
+            texts = batch.column(batch.num_columns - 1)
             for a, b in text_slices(texts, at_once):
-                made = work(texts[a:b])
+                made = work(texts.slice(a, b - a).to_pylist())
                 part = batch.slice(a, b - a)
                 names = [*batch.schema.names[:-1], *made]
                 columns = [*part.columns[:-1], *[c if isinstance(c, pa.Array) else pa.array(c) for c in made.values()]]
@@ -138,17 +149,15 @@ def map_texts(
     return kept.mapInArrow(run, out)
 
 
-def text_slices(texts: list, most: int = 4_000_000) -> Iterator[tuple[int, int]]:
-    """Index ranges whose texts hold at most ``most`` characters together, one text at least."""
-    a = size = 0
-    for i, text in enumerate(texts):
-        n = len(text) if text is not None else 0
-        if i > a and size + n > most:
-            yield a, i
-            a, size = i, 0
-        size += n
-    if a < len(texts):
-        yield a, len(texts)
+def text_slices(texts: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, int]]:
+    """Index ranges whose texts hold at most ``most`` bytes together, one text at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    a = 0
+    while a < len(texts):
+        before = int(ends[a - 1]) if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield a, b
+        a = b
 
 
 def sorted_slices(df: DataFrame, keys: list[str], label: str) -> DataFrame:

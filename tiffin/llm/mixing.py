@@ -112,8 +112,8 @@ def mix(
 
 def mixed(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, seed: str = "mix-1") -> DataFrame:
     """``docs`` with each row as often as the mix takes it."""
-    keyed = with_row_keys(docs)
+    keyed = with_row_keys(docs, ["doc_id", "source", "text"])
     copies = mix(keyed, ("_k0", "_k1"), weights, most, seed).groupBy("_k0", "_k1")
     chosen = stored(copies.agg(F.count(F.lit(1)).alias("rows"), F.sum("copies").alias("_copies")), "copies")
     taken = matched(keyed, chosen).filter("_copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_row.*")

@@ -233,10 +233,10 @@ def near_duplicates(docs: DataFrame, keep: list[str], size: int = 3, most: int =
 
 def one_of_each(docs: DataFrame, size: int = 3, most: int = 3) -> DataFrame:
     """``docs`` with one row for each component: its smallest doc_id, ties by the rows' hashes."""
-    keyed = with_row_keys(docs)
+    keyed = with_row_keys(docs, ["doc_id", "text"])
     found = stored(near_duplicates(keyed, ["_k0", "_k1"], size, most), "components")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_k0", "_k1")
     first = found.groupBy("root").agg(F.min(order).alias("_o")).select("root", "_o._k0", "_o._k1")
     rows = found.groupBy("root", "_k0", "_k1").agg(F.count(F.lit(1)).alias("rows"))
     chosen = stored(rows.join(first, ["root", "_k0", "_k1"]).drop("root"), "chosen")
-    return matched(keyed, chosen).select(*docs.columns)
+    return matched(keyed, chosen).select("_row.*")
