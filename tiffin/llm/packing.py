@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiffin.llm.common import map_texts, row_number_column, sorted_slices, stored
-from tiffin.llm.tokens import Encoder, tokenizer_path
+from tiffin.llm.tokens import shared_encoder, tokenizer_path
 
 BUCKETS = 1024
 DIMS = 4
@@ -86,7 +86,7 @@ def tail_bounds(total: int, length: int) -> list[int]:
 
 def _tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     def make():
-        encoder, press = Encoder(tokenizer), zstandard.ZstdCompressor(level=1)
+        encoder, press = shared_encoder(tokenizer), zstandard.ZstdCompressor(level=1)
         end = np.array([end_id], dtype=encoder.dtype)
 
         def work(texts: list) -> dict:
@@ -102,7 +102,7 @@ def _tokenised(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
         return work
 
-    return map_texts(docs, ["doc_id"], "text", "curve long, n long, width int, ids binary", make, 8_000_000)
+    return map_texts(docs, ["doc_id"], "text", "curve long, n long, width int, ids binary", make)
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiffin.llm.common import map_texts
-from tiffin.llm.tokens import Encoder, tokenizer_path
+from tiffin.llm.tokens import shared_encoder, tokenizer_path
 
 KEY = ["doc_id", "version"]
 GROUP = ["source", "lang", "version"]
@@ -31,10 +31,10 @@ def token_counts(docs: DataFrame, keep: list[str], tokenizer: str | None = None)
     path = tokenizer or tokenizer_path()
 
     def make():
-        encoder = Encoder(path)
+        encoder = shared_encoder(path)
         return lambda texts: {"n": [len(x) for x in encoder.encode(texts)]}
 
-    return map_texts(docs, keep, "text", "n long", make, 8_000_000)
+    return map_texts(docs, keep, "text", "n long", make)
 
 
 class Rollup:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tiffin.llm.common import row_number_column, scratch_path, stored, text_slices
 from tiffin.llm.perfect_hash import PerfectHash, fingerprints
-from tiffin.llm.tokens import Encoder, tokenizer_path
+from tiffin.llm.tokens import shared_encoder, tokenizer_path
 
 NAME = b"TIFFIDS1"
 TRAILER = 8 + 6 * 8
@@ -136,7 +136,7 @@ def write_shards(
     keyed = keyed.withColumn("_rid", row_number_column()).repartitionByRange(*keys).sortWithinPartitions(*keys)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, part, at = Encoder(path), None, 0, 0
+        encoder, shard, part, at = shared_encoder(path), None, 0, 0
         end = np.array([end_id], dtype=encoder.dtype)
         made = []
 
@@ -144,10 +144,11 @@ def write_shards(
             made.append({"slice": at, "part": part, "name": name, **shard.close()})
 
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
             at = batch.column("slice")[0].as_py() if len(ids) else at
-            for a, b in text_slices(texts, 8_000_000):
-                for key, got in zip(ids[a:b], encoder.encode(texts[a:b]), strict=True):
+            for a, b in text_slices(texts):
+                got_ids = encoder.encode(texts.slice(a, b - a).to_pylist())
+                for key, got in zip(ids[a:b], got_ids, strict=True):
                     if shard is None:
                         name, written = f"shard-{at:06d}-{part:04d}.ids", 0
                         shard = _Writer(folder, name, encoder.dtype)

@@ -1,14 +1,16 @@
-"""Token ids of whole texts by the tokenizers library, with a bounded cache of encoded words.
-
-A byte-level BPE splits a text before every space that follows a non-space, so
-the ids of a text are the ids of its space-led units one after another. Units
-repeat a great deal: a batch's distinct units are found by Arrow, new ones are
-encoded by the library and kept, and numpy lays the ids out. Texts in which white
-space precedes a space are encoded whole by the library.
+"""Token ids of whole texts by the tokenizers library, with a bounded store of encoded words.
+
+A byte-level BPE splits a text before every space that follows a non-space, and
+between a letter and the punctuation after it, so the ids of a text are the ids of
+such parts one after another. Parts repeat a great deal: Arrow finds the distinct ones
+of a batch and looks them up, the library encodes those that are new, and numpy lays
+the ids out. Texts in which white space precedes a space are encoded whole by
+the library.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 
 import numpy as np
@@ -17,9 +19,9 @@ import pyarrow.compute as pc
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 #: ASCII punctuation but the apostrophe and the underscore; the tokenizer splits between a letter and these.
-_CLOSING = "!\"#$%&()*+,-./:;<=>?@[\\]^`{|}~"
-_GAP = re.compile(r"\s ")
-_FEED = re.compile(r"\s\n")
+CLOSING = "!\"#$%&()*+,-./:;<=>?@[\\]^`{|}~"
+#: White space other than a space or a line feed.
+_OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
 def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
@@ -29,23 +31,38 @@ def tokenizer_path(name: str = DEFAULT_TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def _gathered(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans of ``pool`` one after another, and their bounds in the result."""
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    kind = np.int32 if max(len(pool), ends[-1]) < 1 << 31 else np.int64
+    at = np.repeat((starts - ends[:-1]).astype(kind), sizes)
+    at += np.arange(ends[-1], dtype=kind)
+    return pool[at], ends
+
+
+def _strings(raw: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype("<i8")), pa.py_buffer(raw))
+
+
 class Encoder:
     """Ids of texts as little-endian numpy arrays of ``dtype``, the narrowest that holds the vocabulary.
 
     For byte-level BPE files; ``whole_texts=True`` hands every text to the library as
     it is and fits any tokenizer. The strings of special tokens in a text are ordinary
-    text. At most about ``cache_units`` units are kept; a full cache is emptied.
+    text. When more than ``store`` parts are kept, those that the last batch didn't use go.
     """
 
-    def __init__(self, path: str, cache_units: int = 1_000_000, whole_texts: bool = False):
+    def __init__(self, path: str, store: int = 400_000, whole_texts: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.cache: dict[str, bytes] = {}
-        self.cache_units = cache_units
+        self.store = store
         self.whole_texts = whole_texts
+        self.parts = pa.array([], pa.large_string())
+        self.pool = np.zeros(0, dtype=self.dtype)
+        self.starts = self.sizes = np.zeros(0, dtype=np.int64)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype)
@@ -53,76 +70,103 @@ class Encoder:
     def encode(self, texts: list) -> list[np.ndarray]:
         """Ids of each text; a null text is empty."""
         texts = [t or "" for t in texts]
-        alone = {i for i, t in enumerate(texts) if self.whole_texts or _odd(t)}
-        marked = ["" if i in alone else "\x00" + _led(t) for i, t in enumerate(texts)]
-        units = pc.split_pattern(pa.array(marked, pa.large_string()), " ")
+        marked = [None if self.whole_texts else _marked(t) for t in texts]
+        units = pc.split_pattern(pa.array([m or "" for m in marked], pa.large_string()), " ")
         coded = units.flatten().dictionary_encode()
-        if len(self.cache) > self.cache_units:
-            self.cache = {}
-        distinct = coded.dictionary.to_pylist()
-        self._learn([u for u in distinct if u not in self.cache])
-        known = [self.cache[u] for u in distinct]
-        table = np.frombuffer(b"".join(known), dtype=self.dtype)
-        sizes = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // self.dtype.itemsize
+        table, ends = self._units(coded.dictionary)
         at = coded.indices.to_numpy()
-        n = sizes[at]
-        ends = np.concatenate([[0], np.cumsum(n)])
-        flat = table[np.repeat((np.cumsum(sizes) - sizes)[at] - ends[:-1], n) + np.arange(ends[-1])]
-        bounds = ends[units.offsets.to_numpy() - units.offsets[0].as_py()]
-        return [
-            self.whole(t) if i in alone else flat[bounds[i] : bounds[i + 1]] for i, t in enumerate(texts)
-        ]
-
-    def _learn(self, fresh: list[str]) -> None:
-        """Encode new units; one of letters and closing punctuation from its two parts."""
-        cache, pairs, need = self.cache, [], set()
-        for u in fresh:
-            core = u.rstrip(_CLOSING)
-            if len(core) != len(u) and core and core[-1].isalnum():
-                pair = core, "\x00" + u[len(core) :]
-                pairs.append((u, pair))
-                need.update(pair)
-            else:
-                need.add(u)
-        self._encode_units([u for u in need if u not in cache])
-        for u, (a, b) in pairs:
-            cache[u] = cache[a] + cache[b]
-
-    def _encode_units(self, units: list[str], at_once: int = 256) -> None:
-        """Encode ``at_once`` units as one text and cut the ids at the units' starts; those at a text's ends alone.
-
-        A unit that starts with a line feed stands for itself, one with a leading
+        flat, bounds = _gathered(table, ends[:-1][at], np.diff(ends)[at])
+        cuts = bounds[units.offsets.to_numpy() - units.offsets[0].as_py()]
+        return [self.whole(t) if m is None else flat[cuts[i] : cuts[i + 1]] for i, (t, m) in enumerate(zip(texts, marked, strict=True))]
+
+    def _units(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct units one after another, and their bounds: each unit's core, then its closing punctuation."""
+        cores = pc.utf8_rtrim(units, characters=CLOSING)
+        splits = pc.utf8_is_alnum(pc.utf8_slice_codeunits(cores, -1, stop=None)).to_numpy(zero_copy_only=False)
+        cores = pc.if_else(pa.array(splits), cores, units)
+        raw, offsets = _buffers(units)
+        core_sizes = pc.binary_length(cores).to_numpy()
+        # Closing punctuation stands for itself: a unit with a leading '\\x00'.
+        tails, bounds = _gathered(raw, offsets[:-1] + core_sizes, np.diff(offsets) - core_sizes)
+        tails = pc.binary_join_element_wise(pa.scalar("\x00", pa.large_string()), _strings(tails, bounds), pa.scalar("", pa.large_string()))
+        parts = pa.concat_arrays([cores, tails]).dictionary_encode()
+        starts, sizes = self._looked_up(parts.dictionary)
+        at = parts.indices.to_numpy().reshape(2, -1).T.ravel()  # core and tail of each unit in turn
+        flat, ends = _gathered(self.pool, starts[at], sizes[at])
+        return flat, ends[::2]
+
+    def _looked_up(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Where the pool has the ids of distinct parts; new ones are encoded first."""
+        found = pc.index_in(parts, value_set=self.parts)
+        fresh = parts.filter(pc.is_null(found))
+        if len(fresh):
+            ids = self._encoded(fresh.to_pylist())
+            sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // self.dtype.itemsize
+            self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(ids), dtype=self.dtype)])
+            self.parts = pa.concat_arrays([self.parts, fresh])
+            found = pc.index_in(parts, value_set=self.parts)
+        at = found.to_numpy()
+        starts, sizes = self.starts[at], self.sizes[at]
+        if len(self.parts) > self.store:
+            self.pool, ends = _gathered(self.pool, starts, sizes)
+            self.parts, self.starts, self.sizes = parts, ends[:-1], sizes
+            return self.starts, self.sizes
+        return starts, sizes
+
+    def _encoded(self, parts: list[str], at_once: int = 256) -> list[bytes]:
+        """Ids of parts: ``at_once`` encoded as one text and cut at their starts; those at a text's ends alone.
+
+        A part that starts with a line feed stands for itself, one with a leading
         '\\x00' for the rest, any other follows a space.
         """
-        cache, inner = self.cache, []
-        for u in units:
-            if u[:1] in ("", "\x00"):
-                cache[u] = self.whole(u[1:]).tobytes()
-            elif u[-1].isspace():
-                cache[u] = self.whole(u if u[0] == "\n" else " " + u).tobytes()
+        out: list[bytes] = [b""] * len(parts)
+        inner = []
+        for i, p in enumerate(parts):
+            if p[:1] in ("", "\x00"):
+                out[i] = self.whole(p[1:]).tobytes()
+            elif p[-1].isspace():
+                out[i] = self.whole(p if p[0] == "\n" else " " + p).tobytes()
             else:
-                inner.append(u)
-        for i in range(0, len(inner), at_once):
-            part = inner[i : i + at_once]
-            led = [u if u[0] == "\n" else " " + u for u in part]
+                inner.append(i)
+        for a in range(0, len(inner), at_once):
+            some = inner[a : a + at_once]
+            led = [parts[i] if parts[i][0] == "\n" else " " + parts[i] for i in some]
             got = self.tokenizer.encode("".join(led), add_special_tokens=False)
             lengths = np.fromiter(map(len, led), dtype=np.int64, count=len(led))
             first = np.array([o[0] for o in got.offsets], dtype=np.int64)
             cuts = np.append(np.searchsorted(first, np.cumsum(lengths) - lengths, "left"), len(first))
             raw = np.array(got.ids, dtype=self.dtype).tobytes()
             cuts = (cuts * self.dtype.itemsize).tolist()
-            for u, a, b in zip(part, cuts[:-1], cuts[1:], strict=True):
-                cache[u] = raw[a:b]
+            for i, b, e in zip(some, cuts[:-1], cuts[1:], strict=True):
+                out[i] = raw[b:e]
+        return out
 
 
-def _odd(text: str) -> bool:
-    """Whether units that follow a space could belong together."""
-    return " \n" in text or text.endswith(" ") or "\x00" in text or _GAP.search(text) is not None
+def _buffers(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes and bounds of an array without nulls."""
+    _, offsets, data = strings.buffers()
+    bounds = np.frombuffer(offsets, "<i8")[strings.offset : strings.offset + len(strings) + 1]
+    return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), bounds
 
 
-def _led(text: str) -> str:
-    """A space before each line feed if all stand between two non-spaces, where a unit starts as after a space."""
-    if "\n" not in text or "\n\n" in text or text[0] == "\n" or text[-1] == "\n" or _FEED.search(text):
-        return text
-    led = text.replace("\n", " \n")
-    return text if re.search(r"\n\s", text) else led
+def _marked(text: str) -> str | None:
+    """The text with '\\x00' before it and a space before each line feed that starts a unit as a space does.
+
+    None if units that follow a space could belong together. Line feeds are marked if
+    all stand between two non-spaces.
+    """
+    if "  " in text or " \n" in text or "\n " in text or text.endswith(" ") or "\x00" in text:
+        return None
+    if _OTHER_SPACE.search(text):
+        return None if re.search(r"\s ", text) else "\x00" + text
+    if "\n\n" in text or text[:1] == "\n" or text[-1:] == "\n":
+        return "\x00" + text
+    return "\x00" + text.replace("\n", " \n")
+
+
+@functools.cache
+def shared_encoder(path: str) -> Encoder:
+    """The encoder of this process, so that what one task has learned serves the next."""
+    return Encoder(path)
