@@ -5,8 +5,9 @@ each slice is a list of local scores. With m lists and a known lower bound t of
 the k-th best score, whatever reaches t has a local score of t / m or more in
 some list.
 
-1. Gather: each list gives its ``k`` best local scores; their objects' scores are
-   added up, and the k-th best of a query is its safe cutoff t.
+1. Gather: each list gives its ``k`` best local scores, their objects' scores are
+   added up, and each cell (below) sends its best, several times ``k`` over all cells;
+   the k-th best of a query among these is its safe cutoff t.
 2. Collect: with the cutoffs sent back, each list gives every entry of at least
    t / m. What is missing in a list counts less than t / m there, which bounds
    the score from above; objects whose bound is under t go.
@@ -15,8 +16,8 @@ some list.
 
 Queries and vectors are dealt to cells of a grid of bounded blocks, so a cell
 holds at most ``query_block`` queries (on average) and ``row_block`` vectors; the
-lists of a cell share its task, and only ``k`` entries for each query and cell are
-shuffled. Phases 1 and 3 read the same dealt vectors.
+lists of a cell share its task, and what is shuffled for a query is a few entries a
+cell in phase 1 and those that reach its cutoff in phase 3.
 """
 
 from __future__ import annotations
@@ -70,8 +71,8 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -scores))[:k]
 
 
-def _cell(k: int, lists: int, resolve: bool):
-    """Phase 1 (gather) or phases 2 and 3 (collect, resolve) in one cell of the grid."""
+def _cell(k: int, sent: int, lists: int, resolve: bool):
+    """Phase 1 (gather) or phases 2 and 3 (collect, resolve) in one cell, which sends ``sent`` entries a query."""
 
     def run(rows: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         made: list[tuple[np.ndarray, ...]] = []
@@ -81,10 +82,9 @@ def _cell(k: int, lists: int, resolve: bool):
             for i in range(0, len(queries), 256):
                 some = queries.iloc[i : i + 256]
                 local = _lists(_matrix(some["w"], dims), vectors, lists)
-                total_kind = np.int64
                 cutoffs = some["cutoff"].to_numpy() if resolve else None
                 for j, own in enumerate(some["query_id"].to_numpy(np.int64)):
-                    scores = [part[j].astype(total_kind) for part in local]
+                    scores = [part[j].astype(np.int64) for part in local]
                     if resolve:
                         cutoff = cutoffs[j]
                         seen = [part * lists >= cutoff for part in scores]
@@ -99,7 +99,7 @@ def _cell(k: int, lists: int, resolve: bool):
                     total = sum(part[found] for part in scores)
                     if resolve:
                         found, total = found[total >= cutoff], total[total >= cutoff]
-                    best = _best(total, ids[found], k)
+                    best = _best(total, ids[found], sent)
                     made.append((np.full(len(best), own), ids[found][best], total[best]))
         parts = [np.concatenate(x) for x in zip(*made, strict=True)] if made else [np.zeros(0, np.int64)] * 3
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), parts, strict=True)))
@@ -140,19 +140,19 @@ def top_k(
     queries = dealt(asked, "qb", query_blocks, "rb", row_blocks)
     schema = "query_id long, vec_id long, score long"
 
-    def in_cells(asked_with: DataFrame, resolve: bool) -> DataFrame:
+    def in_cells(asked_with: DataFrame, sent: int, resolve: bool) -> DataFrame:
         pairs = rows.groupBy("qb", "rb").cogroup(asked_with.groupBy("qb", "rb"))
-        return pairs.applyInPandas(_cell(k, lists, resolve), schema)
+        return pairs.applyInPandas(_cell(k, sent, lists, resolve), schema)
 
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     numbered = F.row_number().over(by_score)
-    gathered = in_cells(queries, False).distinct().withColumn("_r", numbered).filter(F.col("_r") <= k)
+    gathered = in_cells(queries, min(k, -(-4 * k // row_blocks)), False).distinct().withColumn("_r", numbered).filter(F.col("_r") <= k)
     cutoffs = gathered.groupBy("query_id").agg(
         F.when(F.count(F.lit(1)) == k, F.min("score")).alias("cutoff")
     )
     floor = F.lit(-(1 << 62) // max(1, lists))  # fewer than k candidates in all: everything is collected
     cutoffs = stored(cutoffs.select("query_id", F.coalesce("cutoff", floor).alias("cutoff")), "cutoffs")
-    found = in_cells(queries.join(cutoffs, "query_id"), True)
+    found = in_cells(queries.join(cutoffs, "query_id"), k, True)
     return (
         found.distinct()
         .withColumn("rank", F.row_number().over(by_score))
