@@ -2,7 +2,7 @@
 
 Each takes a DataFrame of typed orders and adds columns in one projection.
 They compose in this order inside ``stg_orders``: calendar, time slot, order
-type, cancel attribution, durations, sequence, pricing, SLA, bottleneck.
+type, cancel attribution, durations, pricing, SLA, bottleneck; the order sequence comes first.
 """
 
 from __future__ import annotations

@@ -131,20 +131,27 @@ def typed_orders(raw: DataFrame) -> DataFrame:
     )
 
 
+def _enriched(df: DataFrame) -> DataFrame:
+    for op in (od.op_calendar, od.op_time_slot, od.op_order_type, od.op_cancel_attribution, od.op_durations):
+        df = op(df)
+    for op in (od.op_pricing, od.op_sla_classify, od.op_bottleneck):
+        df = op(df)
+    return df
+
+
 def enriched_orders(raw: DataFrame) -> DataFrame:
     """stg_orders without the customer's order number: one projection of the orders, no shuffle.
 
     What doesn't read user_order_number or is_first_order builds on this, as the plan for
     the number stays even where nobody reads it.
     """
-    df = typed_orders(raw)
-    for op in (od.op_calendar, od.op_time_slot, od.op_order_type, od.op_cancel_attribution, od.op_durations):
-        df = op(df)
-    for op in (od.op_pricing, od.op_sla_classify, od.op_bottleneck):
-        df = op(df)
-    return df
+    return _enriched(typed_orders(raw))
 
 
 def stg_orders(raw: DataFrame) -> DataFrame:
-    """Typed orders through the nine order operators; 47 columns."""
-    return od.op_order_sequence(enriched_orders(raw)).select(*od.STG_ORDERS_COLUMNS)
+    """Typed orders through the nine order operators; 47 columns.
+
+    Orders are numbered first, so that the shuffle carries the typed columns and none of
+    those derived from them.
+    """
+    return _enriched(od.op_order_sequence(typed_orders(raw))).select(*od.STG_ORDERS_COLUMNS)
