@@ -16,6 +16,7 @@ task holds more than some documents at a time.
 
 from __future__ import annotations
 
+import bisect
 import math
 from collections.abc import Iterator
 
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from tiffin.llm.common import map_texts, row_number_column, sorted_slices, stored
 from tiffin.llm.tokens import shared_encoder, tokenizer_path
 
-BUCKETS = 1024
+BUCKETS = 256
 DIMS = 4
 BITS = 10
 
@@ -36,14 +37,16 @@ BITS = 10
 def hashed_projection(ids: list[np.ndarray], dims: int = DIMS, buckets: int = BUCKETS) -> np.ndarray:
     """One row of ``dims`` numbers in [0, 1) for each document's ids; an empty document is in the middle."""
     spread = np.random.default_rng(20_240_601).standard_normal((buckets, dims))
-    out = np.full((len(ids), dims), 0.5)
-    for row, doc in enumerate(ids):
-        if not len(doc):
-            continue
-        hashed = (doc.astype(np.uint32) * np.uint32(2_654_435_761)) >> np.uint32(32 - buckets.bit_length() + 1)
-        vector = np.log1p(np.bincount(hashed, minlength=buckets))
-        out[row] = [0.5 + 0.5 * math.erf(x / math.sqrt(2)) for x in vector @ spread / np.linalg.norm(vector)]
-    return np.clip(out, 0.0, 1 - 1e-9)
+    if not ids:
+        return np.zeros((0, dims))
+    line = np.concatenate(ids).astype(np.uint32)
+    hashed = (line * np.uint32(2_654_435_761)) >> np.uint32(33 - buckets.bit_length())
+    row = np.repeat(np.arange(len(ids)) * buckets, [len(x) for x in ids])
+    counts = np.log1p(np.bincount(row + hashed, minlength=len(ids) * buckets).reshape(-1, buckets))
+    norms = np.maximum(np.sqrt((counts * counts).sum(axis=1)), 1e-9)
+    places = (counts @ spread) / norms[:, None]
+    # A smooth map of the line to (0, 1) that spreads normal numbers nearly evenly.
+    return np.clip(0.5 + 0.5 * np.tanh(places * math.sqrt(2 / math.pi)), 0.0, 1 - 1e-9)
 
 
 def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -148,7 +151,7 @@ def pack(docs: DataFrame, length: int = 1024, tokenizer: str | None = None, end_
     path = tokenizer or tokenizer_path()
     tokens = stored(_tokenised(docs, path, end_id).withColumn("rid", row_number_column()), "tokens")
     total = tokens.agg(F.sum("n")).first()[0] or 0
-    tail = np.array(tail_bounds(total, length), dtype=np.int64)
+    tail = tail_bounds(total, length)
     full = total // length
     made = "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, curve long"
     schema = f"doc_id {tokens.schema['doc_id'].dataType.simpleString()}, {made}"
@@ -160,19 +163,17 @@ def pack(docs: DataFrame, length: int = 1024, tokenizer: str | None = None, end_
             for i, (at, n, width, raw) in enumerate(
                 zip(*[batch.column(c).to_pylist() for c in ("at", "n", "width", "ids")], strict=True)
             ):
-                ids = np.frombuffer(plain.decompress(raw), dtype=f"<u{width}").astype("<u4")
-                cuts = np.arange(at // length * length, at + n + length, length)
-                cuts = np.union1d(cuts[cuts <= full * length], tail)
-                first = int(np.searchsorted(cuts, at, "right")) - 1
-                while first + 1 < len(cuts) and cuts[first] < at + n:
-                    a, b = max(at, int(cuts[first])), min(at + n, int(cuts[first + 1]))
-                    sequence = cuts[first] // length + max(0, int(np.searchsorted(tail, cuts[first], "right")) - 1)
+                ids = np.frombuffer(plain.decompress(raw), dtype=f"<u{width}").astype("<u4").tobytes()
+                a = at
+                while a < at + n:
+                    sequence = a // length if a < tail[0] else full + bisect.bisect_right(tail, a) - 1
+                    first, last = (sequence * length, (sequence + 1) * length) if a < tail[0] else tail[sequence - full :][:2]
+                    b = min(at + n, last)
                     rows.append(i)
-                    for column, x in zip(
-                        columns, (a - at, b - a, ids[a - at : b - at].tobytes(), n, int(sequence), a - int(cuts[first])), strict=True
-                    ):
+                    piece = a - at, b - a, ids[4 * (a - at) : 4 * (b - at)], n, sequence, a - first
+                    for column, x in zip(columns, piece, strict=True):
                         column.append(x)
-                    first += 1
+                    a = b
             kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
             taken = batch.select(["doc_id", "curve"]).take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays(
