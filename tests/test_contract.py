@@ -2,7 +2,7 @@
 fan-out the SQL produces when run as written (counts from the survey)."""
 
 import pytest
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 from tiffin.operators import checks as ck
 from tiffin.plans.models import AsWritten, Models

@@ -1,7 +1,7 @@
 import os
 import tempfile
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry

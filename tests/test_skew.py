@@ -1,6 +1,6 @@
 """End to end with a planted hot key: one customer holds a third of all orders."""
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

@@ -146,8 +146,8 @@ STAGING = [
 ]
 # Build levels: a level reads only what lower levels wrote. Heaviest first within a level.
 LEVELS = [
-    ["stg_orders"],
-    ["customer_context", "fact_funnel", "dim_restaurants", "dim_couriers"],
+    ["stg_orders", "fact_funnel"],
+    ["customer_context", "dim_restaurants", "dim_couriers"],
     ["fact_delivery", "fact_orders", "fact_user_metrics", "fact_channel_performance", "dim_users"],
 ]
 
