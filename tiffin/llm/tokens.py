@@ -49,10 +49,10 @@ class Encoder:
 
     For byte-level BPE files; ``whole_texts=True`` hands every text to the library as
     it is and fits any tokenizer. The strings of special tokens in a text are ordinary
-    text. When more than ``store`` parts are kept, those that the last batch didn't use go.
+    text. When more than ``store`` parts are kept, the half that was used longest ago goes.
     """
 
-    def __init__(self, path: str, store: int = 400_000, whole_texts: bool = False):
+    def __init__(self, path: str, store: int = 600_000, whole_texts: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -62,13 +62,16 @@ class Encoder:
         self.whole_texts = whole_texts
         self.parts = pa.array([], pa.large_string())
         self.pool = np.zeros(0, dtype=self.dtype)
-        self.starts = self.sizes = np.zeros(0, dtype=np.int64)
+        self.starts = self.sizes = self.used = np.zeros(0, dtype=np.int64)
+        self.batches = 0
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype)
 
     def encode(self, texts: list) -> list[np.ndarray]:
         """Ids of each text; a null text is empty."""
+        if len(self.parts) > self.store:
+            self._forget()
         texts = [t or "" for t in texts]
         marked = [None if self.whole_texts else _marked(t) for t in texts]
         units = pc.split_pattern(pa.array([m or "" for m in marked], pa.large_string()), " ")
@@ -97,23 +100,27 @@ class Encoder:
 
     def _looked_up(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Where the pool has the ids of distinct parts; new ones are encoded first."""
-        found = pc.index_in(parts, value_set=self.parts)
-        fresh = parts.filter(pc.is_null(found))
-        if len(fresh):
+        at = pc.fill_null(pc.index_in(parts, value_set=self.parts), -1).to_numpy().astype(np.int64)
+        new = at < 0
+        if new.any():
+            fresh = parts.filter(pa.array(new))
+            at[new] = len(self.parts) + np.arange(len(fresh))
             ids = self._encoded(fresh.to_pylist())
             sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // self.dtype.itemsize
             self.starts = np.concatenate([self.starts, len(self.pool) + np.cumsum(sizes) - sizes])
             self.sizes = np.concatenate([self.sizes, sizes])
+            self.used = np.concatenate([self.used, sizes])
             self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(ids), dtype=self.dtype)])
             self.parts = pa.concat_arrays([self.parts, fresh])
-            found = pc.index_in(parts, value_set=self.parts)
-        at = found.to_numpy()
-        starts, sizes = self.starts[at], self.sizes[at]
-        if len(self.parts) > self.store:
-            self.pool, ends = _gathered(self.pool, starts, sizes)
-            self.parts, self.starts, self.sizes = parts, ends[:-1], sizes
-            return self.starts, self.sizes
-        return starts, sizes
+        self.batches += 1
+        self.used[at] = self.batches
+        return self.starts[at], self.sizes[at]
+
+    def _forget(self) -> None:
+        kept = np.argsort(self.used, kind="stable")[len(self.used) - self.store // 2 :]
+        self.parts, self.used = self.parts.take(pa.array(kept)), self.used[kept]
+        self.pool, ends = _gathered(self.pool, self.starts[kept], self.sizes[kept])
+        self.starts, self.sizes = ends[:-1], np.diff(ends)
 
     def _encoded(self, parts: list[str], at_once: int = 256) -> list[bytes]:
         """Ids of parts: ``at_once`` encoded as one text and cut at their starts; those at a text's ends alone.
