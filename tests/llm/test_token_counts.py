@@ -77,3 +77,29 @@ def test_counts_of_odd_documents(odd_documents, no_documents):
     for r in token_counts(odd_documents.drop("n"), ["doc_id", "text"]).collect():
         assert r.n == len(encoder.whole(r.text or ""))
     assert token_counts(no_documents.drop("n"), ["doc_id"]).count() == 0
+
+
+def test_every_row_counts_whatever_its_id(spark, odd_documents, tmp_path):
+    from tiffin.llm.queries import op10_token_counts
+
+    odd_documents.write.parquet(f"{tmp_path}/documents.parquet")
+    encoder, docs, tokens = Encoder(tokenizer_path()), {}, {}
+    for r in odd_documents.collect():
+        if n := len(encoder.whole(r.text or "")):
+            docs[r.source, r.lang] = docs.get((r.source, r.lang), 0) + 1
+            tokens[r.source, r.lang] = tokens.get((r.source, r.lang), 0) + n
+    got = {(r.source, r.lang): (r.docs, r.tokens) for r in op10_token_counts(spark, str(tmp_path)).collect() if r.tokens}
+    assert got == {k: (docs[k], tokens[k]) for k in docs}
+
+
+def test_a_revision_replaces_all_copies_of_its_row(spark, odd_documents):
+    from tiffin.llm.token_counts import COPIES, ROW_KEY, row_counts
+
+    rollup = Rollup(spark, scratch_path(spark, "rollup"), ROW_KEY, COPIES)
+    rows = row_counts(odd_documents).selectExpr("*", "'v' as version", "0 as at").cache()
+    rollup.apply("in", rows.selectExpr("*", "'insert' as op"))
+    rollup.apply("again", rows.drop("n").selectExpr("*", "7 as n", "'revise' as op"))
+    assert sum(d for d, _ in totals(rollup).values()) == odd_documents.count()
+    assert all(t == 7 * d for d, t in totals(rollup).values())
+    rollup.apply("out", rows.filter("doc_id = 1 or doc_id is null").selectExpr("*", "'delete' as op"))
+    assert sum(d for d, _ in totals(rollup).values()) == odd_documents.filter("doc_id != 1").count()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiffin.llm import chat, langid, licenses, mixing, packing, quality, simhash, token_counts, token_files, topk
-from tiffin.llm.common import scratch_path, ship_package, stored, word_count
+from tiffin.llm.common import scratch_path, ship_package, stored
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,10 +57,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches over the whole table: word counts at ingest, then token counts, then deletes of empty texts."""
-    docs = _table(spark, sf_dir, "documents").withColumn("words", word_count(F.col("text")))
-    counted = stored(token_counts.token_counts(docs, ["doc_id", "source", "lang", "words"]), "counted")
+    counted = stored(token_counts.row_counts(_table(spark, sf_dir, "documents")), "counted")
     changes = counted.withColumns({"version": F.lit("byte_bpe_50k"), "at": F.lit(0)})
-    rollup = token_counts.Rollup(spark, scratch_path(spark, "rollup"))
+    rollup = token_counts.Rollup(spark, scratch_path(spark, "rollup"), token_counts.ROW_KEY, token_counts.COPIES)
     ingested = changes.withColumns({"op": F.lit("insert"), "n": F.col("words")})
     tokenised = changes.withColumn("op", F.lit("revise"))
     rollup.apply("ingest", ingested)

@@ -18,10 +18,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm.common import map_texts
+from tiffin.llm.common import map_texts, null_safe, with_row_keys, word_count
 from tiffin.llm.tokens import shared_encoder, tokenizer_path
 
-KEY = ["doc_id", "version"]
 GROUP = ["source", "lang", "version"]
 COMMIT = "seq long, batch string, folder string"
 
@@ -37,11 +36,34 @@ def token_counts(docs: DataFrame, keep: list[str], tokenizer: str | None = None)
     return map_texts(docs, keep, "text", "n long", make)
 
 
+#: What identifies a row of a table and how often it stands there: columns of :func:`row_counts` for :class:`Rollup`.
+ROW_KEY, COPIES = ("doc_id", "_k0", "_k1"), "copies"
+
+
+def row_counts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+    """doc_id, source, lang, words and ``n`` of each row of ``docs`` (with ``text``), whatever its doc_id.
+
+    ``_k0`` and ``_k1`` are hashes of the row, so that different rows with one doc_id (or
+    none) stay apart; equal rows are one row, and ``copies`` says how many there are.
+    """
+    keyed = with_row_keys(docs.select("doc_id", "source", "lang", "text"), ["doc_id", "source", "lang", "text"])
+    keep = [*ROW_KEY, "source", "lang", "words"]
+    counted = token_counts(keyed.withColumn("words", word_count(F.col("text"))), keep, tokenizer)
+    return counted.groupBy(*keep, "n").agg(F.count(F.lit(1)).alias(COPIES))
+
+
 class Rollup:
-    """Totals kept under ``path``, a folder that all executors share."""
+    """Totals kept under ``path``, a folder that all executors share.
+
+    A document is a value of the ``key`` columns and a version; the column ``copies``, if
+    named, says how many documents a change stands for (1 if not). A revision carries
+    the key of the document that it replaces.
+    """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, key: tuple = ("doc_id",), copies: str | None = None):
         self.spark, self.path = spark, path
+        self.key = [*key, "version"]
+        self.copies = F.coalesce(copies, F.lit(1)).cast("long") if copies else F.lit(1).cast("long")
 
     def commits(self) -> list:
         """One row for each committed batch, in order."""
@@ -61,40 +83,44 @@ class Rollup:
         return out
 
     def live(self) -> DataFrame | None:
-        """What each (doc_id, version) counts for now, deleted ones with ``live`` false."""
+        """What each document counts for now, deleted ones with ``live`` false."""
         rows = self._read("ledger")
         if rows is None:
             return None
-        state = F.max_by(F.struct("live", "source", "lang", "n"), "seq")
-        return rows.groupBy(*KEY).agg(state.alias("_s")).select(*KEY, "_s.*")
+        state = F.max_by(F.struct("live", "source", "lang", "n", "rows"), "seq")
+        return rows.groupBy(*self.key).agg(state.alias("_s")).select(*self.key, "_s.*")
 
     def apply(self, batch: str, changes: DataFrame) -> bool:
         """Apply and commit ``changes``; False, and nothing done, if ``batch`` is committed already.
 
-        ``changes``: op ('insert', 'revise', 'delete'), doc_id, source, lang, version, n,
-        at. Inserts and revisions set what a document counts for, deletes clear it; a
-        document is the pair (doc_id, version), null equal to null. Of several changes to
-        one document the one with the largest (at, n, source, lang) holds, so repeated
-        rows count once. Deletes of unknown documents, and rows with another op, change
+        ``changes``: op ('insert', 'revise', 'delete'), the key columns (doc_id), source,
+        lang, version, n, at. Inserts and revisions set what a document counts for, deletes
+        clear it; a document is a value of (key columns, version), null equal to null. Of
+        several changes to one document the one with the largest (at, n, source, lang)
+        holds, so a change sent twice counts once: where rows of a table share a doc_id,
+        key by :func:`row_counts`. Deletes of unknown documents, and rows with another op, change
         nothing. A null n counts as 0.
         """
         done = self.commits()
         if any(c.batch == batch for c in done):
             return False
         known = changes.filter(F.col("op").isin("insert", "revise", "delete"))
-        value = F.struct(F.col("op") != "delete", "source", "lang", F.coalesce("n", F.lit(0)).cast("long"))
+        value = F.struct(
+            (F.col("op") != "delete").alias("live"),
+            F.col("source").cast("string").alias("source"),
+            F.col("lang").cast("string").alias("lang"),
+            F.coalesce("n", F.lit(0)).cast("long").alias("n"),
+            self.copies.alias("rows"),
+        )
         order = F.struct("at", F.coalesce("n", F.lit(0)), "source", "lang", "op")
-        new = known.groupBy(*KEY).agg(F.max_by(value, order).alias("_v"))
-        new = new.select(*KEY, F.col("_v").cast("struct<live:boolean,source:string,lang:string,n:bigint>").alias("_v"))
-        new = new.select(*KEY, "_v.*")
+        new = known.groupBy(*self.key).agg(F.max_by(value, order).alias("_v")).select(*self.key, "_v.*")
         old = self.live()
-        plus = new.select(*GROUP, "n", F.lit(1).alias("sign"), "live")
+        plus = new.select(*GROUP, "n", F.col("rows").alias("sign"), "live")
         if old is None:
             signed = plus
         else:
-            match = [old[c].eqNullSafe(new[c]) for c in KEY]
-            minus = old.join(new.select(*KEY), match[0] & match[1], "left_semi")
-            signed = plus.unionByName(minus.select(*GROUP, "n", F.lit(-1).alias("sign"), "live"))
+            minus = old.join(new.select(*self.key), null_safe(old, new, [(c, c) for c in self.key]), "left_semi")
+            signed = plus.unionByName(minus.select(*GROUP, "n", (-F.col("rows")).alias("sign"), "live"))
         delta = (
             signed.filter("live")
             .groupBy(*GROUP)
