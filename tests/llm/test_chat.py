@@ -74,3 +74,19 @@ def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, 0, "user", "hi", 0, 0, 0, 0)], SCHEMA)
     plan = chat.format_chats(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_groups_are_bounded_whatever_the_turn_numbers(spark):
+    n = 2 * chat.CHUNK + 10
+    rows = [(1, 0, "user", f"same {i}") for i in range(n)]  # one repeated turn number
+    rows += [(None, None, "user", f"none {i}") for i in range(n)]  # no numbers, no conversation
+    rows += [(2, 1_700_000_000_000 + 5_000 * i, "user", f"ms {i}") for i in range(20)]  # sparse ones
+    got = formatted(spark, rows)
+    assert max(k for k, _, _ in got.values()) == chat.CHUNK
+    assert sorted(p for c, p in got if c is None) == [-3, -2, -1] and sorted(p for c, p in got if c == 1) == [0, 1, 2]
+    assert {k: v for k, v in got.items() if k[0] == 2} == {
+        (2, 0): (20, 1, "".join(f"<|im_start|>user\nms {i}<|im_end|>\n" for i in range(20)))
+    }
+    for c, lines in ((1, rows[:n]), (None, rows[n : 2 * n])):
+        text = "".join(got[k][2] for k in sorted((k for k in got if k[0] == c), key=lambda k: k[1]))
+        assert sorted(text.split("<|im_end|>\n")[:-1]) == sorted(f"<|im_start|>user\n{t}" for _, _, _, t in lines)
