@@ -77,3 +77,13 @@ def test_cached_units_equal_whole_texts(plain):
         for text, got in zip(texts, encoder.encode(texts), strict=True):
             assert got.tolist() == encoder.whole(text or "").tolist(), repr(text)
     assert encoder.encode([]) == []
+
+
+def test_added_tokens_are_as_the_library_has_them():
+    from tokenizers import Tokenizer
+
+    plain, encoder = Tokenizer.from_file(tokenizer_path()), Encoder(tokenizer_path())
+    for text in ["a<|endoftext|>b", "x <|endoftext|> y, z.", "<|endoftext|>", "one\n<|endoftext|>two", "no <|end", "plain words."]:
+        want = plain.encode(text, add_special_tokens=False).ids
+        assert encoder.encode([text])[0].tolist() == encoder.whole(text).tolist() == want, text
+    assert len(encoder.whole("a<|endoftext|>b")) == 3

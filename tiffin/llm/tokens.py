@@ -48,15 +48,16 @@ class Encoder:
     """Ids of texts as little-endian numpy arrays of ``dtype``, the narrowest that holds the vocabulary.
 
     For byte-level BPE files; ``whole_texts=True`` hands every text to the library as
-    it is and fits any tokenizer. The strings of special tokens in a text are ordinary
-    text. When more than ``store`` parts are kept, the half that was used longest ago goes.
+    it is and fits any tokenizer. The string of an added token in a text is that token, as
+    the library has it, so such texts are encoded whole. When more than ``store`` parts are kept, the half that was used longest ago goes.
     """
 
     def __init__(self, path: str, store: int = 600_000, whole_texts: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.store = store
         self.whole_texts = whole_texts
@@ -68,12 +69,15 @@ class Encoder:
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype)
 
+    def _has_added(self, text: str) -> bool:
+        return self.added is not None and self.added.search(text) is not None
+
     def encode(self, texts: list) -> list[np.ndarray]:
         """Ids of each text; a null text is empty."""
         if len(self.parts) > self.store:
             self._forget()
         texts = [t or "" for t in texts]
-        marked = [None if self.whole_texts else _marked(t) for t in texts]
+        marked = [None if self.whole_texts or self._has_added(t) else _marked(t) for t in texts]
         units = pc.split_pattern(pa.array([m or "" for m in marked], pa.large_string()), " ")
         coded = units.flatten().dictionary_encode()
         table, ends = self._units(coded.dictionary)
