@@ -85,10 +85,10 @@ def test_every_row_counts_whatever_its_id(spark, odd_documents, tmp_path):
     odd_documents.write.parquet(f"{tmp_path}/documents.parquet")
     encoder, docs, tokens = Encoder(tokenizer_path()), {}, {}
     for r in odd_documents.collect():
-        if n := len(encoder.whole(r.text or "")):
-            docs[r.source, r.lang] = docs.get((r.source, r.lang), 0) + 1
-            tokens[r.source, r.lang] = tokens.get((r.source, r.lang), 0) + n
-    got = {(r.source, r.lang): (r.docs, r.tokens) for r in op10_token_counts(spark, str(tmp_path)).collect() if r.tokens}
+        n = len(encoder.whole(r.text or ""))
+        docs[r.source, r.lang] = docs.get((r.source, r.lang), 0) + 1
+        tokens[r.source, r.lang] = tokens.get((r.source, r.lang), 0) + n
+    got = {(r.source, r.lang): (r.docs, r.tokens) for r in op10_token_counts(spark, str(tmp_path)).collect()}
     assert got == {k: (docs[k], tokens[k]) for k in docs}
 
 
@@ -103,3 +103,12 @@ def test_a_revision_replaces_all_copies_of_its_row(spark, odd_documents):
     assert all(t == 7 * d for d, t in totals(rollup).values())
     rollup.apply("out", rows.filter("doc_id = 1 or doc_id is null").selectExpr("*", "'delete' as op"))
     assert sum(d for d, _ in totals(rollup).values()) == odd_documents.filter("doc_id != 1").count()
+
+
+def test_documents_without_a_token_are_counted(spark, odd_documents, tmp_path):
+    from tiffin.llm.queries import op10_token_counts
+
+    odd_documents.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = op10_token_counts(spark, str(tmp_path)).collect()
+    assert sum(r.docs for r in rows) == odd_documents.count()
+    assert ("", "", 1, 0) in {(r.source, r.lang, r.docs, r.tokens) for r in rows}

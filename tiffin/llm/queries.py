@@ -56,7 +56,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three batches over the whole table: word counts at ingest, then token counts, then deletes of empty texts."""
+    """Batches over the whole table: word counts at ingest, then token counts; empty texts are deleted and come back."""
     counted = stored(token_counts.row_counts(_table(spark, sf_dir, "documents")), "counted")
     changes = counted.withColumns({"version": F.lit("byte_bpe_50k"), "at": F.lit(0)})
     rollup = token_counts.Rollup(spark, scratch_path(spark, "rollup"), token_counts.ROW_KEY, token_counts.COPIES)
@@ -65,7 +65,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup.apply("ingest", ingested)
     rollup.apply("tokenise", tokenised)
     rollup.apply("tokenise", tokenised)  # sent again after a lost reply: passed over
-    rollup.apply("drop-empty", changes.filter("n = 0").withColumn("op", F.lit("delete")))
+    empty = changes.filter("n = 0")
+    rollup.apply("drop-empty", empty.withColumn("op", F.lit("delete")))
+    rollup.apply("return-empty", empty.withColumn("op", F.lit("insert")))  # the totals cover the whole table
     return rollup.totals()
 
 
