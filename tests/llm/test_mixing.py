@@ -63,3 +63,17 @@ def test_rows_as_often_as_taken(odd_documents):
     for r in out.collect():
         got[r.doc_id, len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))] += 1
     assert dict(got) == {k: v for k, v in copies.items() if v}
+
+
+def test_rows_that_differ_in_a_map_alone_stay_apart(spark):
+    from tiffin.llm.common import with_row_keys
+
+    rows = spark.createDataFrame(
+        [(1, {"a": 1, "b": 2}, [{"x": None}]), (1, {"b": 2, "a": 1}, [{"x": None}]), (1, {"a": 1}, [{"x": None}]), (1, None, [{"x": 3}]), (1, {}, None)],
+        "doc_id long, tags map<string,int>, more array<map<string,int>>",
+    )
+    keys = [(r._k0, r._k1) for r in with_row_keys(rows, ["doc_id"]).orderBy("_row.doc_id").collect()]
+    assert len(keys) == 5 and len(set(keys)) == 4
+    docs = rows.selectExpr("1 as doc_id", "'one two' as text", "'s' as source", "tags")
+    kept = {str(r.tags and sorted(r.tags.items())) for r in mixed(docs, weights=(1,), most=1).collect()}
+    assert len(kept) == 4

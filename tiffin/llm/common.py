@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 #: monotonically_increasing_id keeps the partition above bit 33 and the row below.
 _ROW_BITS = 33
@@ -81,13 +81,35 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
 
+def _has_map(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, MapType) or (isinstance(kind, ArrayType) and _has_map(kind.elementType))
+
+
+def _hashable(col: Column, kind: DataType) -> Column:
+    """``col`` with each map in it as the array of its entries, sorted by all of them."""
+    if not _has_map(kind):
+        return col
+    if isinstance(kind, ArrayType):
+        return F.transform(col, lambda x: _hashable(x, kind.elementType))
+    if isinstance(kind, StructType):
+        made = [_hashable(col.getField(f.name), f.dataType).alias(f"f{i}") for i, f in enumerate(kind.fields)]
+        return F.when(col.isNotNull(), F.struct(*made))
+    entries = F.transform(
+        F.map_entries(col),
+        lambda e: F.struct(_hashable(e["key"], kind.keyType).alias("k"), _hashable(e["value"], kind.valueType).alias("v")),
+    )
+    return F.sort_array(entries)
+
+
 def with_row_keys(df: DataFrame, needed: list[str]) -> DataFrame:
     """The rows of ``df`` as one column ``_row``, the ``needed`` columns, and ``_k0`` and ``_k1``.
 
-    The keys are 128 bits of hash over all columns (but maps): equal rows have equal
-    keys. As one column, the rows' own names can't clash with those of an operator.
+    The keys are 128 bits of hash over all columns (maps as their sorted entries): equal
+    rows have equal keys. As one column, the rows' own names can't clash with those of an operator.
     """
-    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    plain = [_hashable(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
     marked = [c for col in plain for c in (F.isnull(col), col)]
     return df.select(
         F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"),
