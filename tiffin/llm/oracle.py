@@ -151,10 +151,41 @@ with texts as (
 select *, not base_failed and repeat_covered <= n_words * 0.3::double and longest_repeat <= 200 as kept from judged
 """
 
+UPPER_AZ, LOWER_AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+RANKED_SEARCH = f"""
+with docs as (
+    select row_number() over () as rid, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), '{UPPER_AZ}', '{LOWER_AZ}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as t
+    from documents
+), totals as (select count(*)::hugeint as n_docs, sum(len(t))::hugeint as n_terms from docs where len(t) > 0),
+asked as (
+    select distinct item_id, unnest(regexp_extract_all(translate(text, '{UPPER_AZ}', '{LOWER_AZ}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term
+    from benchmark where text is not null
+), held as (
+    select rid, any_value(doc_id) as doc_id, any_value(n) as n, term, count(*) as tf
+    from (select rid, doc_id, len(t) as n, unnest(t) as term from docs) group by rid, term
+), frequent as (select term, count(*) as df from held group by term),
+weighed as (
+    select item_id, f.term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * df + 1)::double))::bigint as w
+    from asked a join frequent f on a.term = f.term cross join totals
+), scored as (
+    select item_id, rid, any_value(doc_id) as doc_id,
+        sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))::bigint)::bigint as score
+    from held h join weighed q on h.term = q.term cross join totals
+    group by item_id, rid
+), ranked as (
+    select item_id, row_number() over (partition by item_id order by score desc, doc_id nulls last)::int as rank, doc_id, score
+    from scored where score > 0
+)
+select * from ranked where rank <= 10
+"""
+
 ORACLE_SQL = {
     "op1_top_k_search": TOP_K,
     "op3_chat_formatting": CHATS,
     "op4_mixing": MIXING,
     "op8_license_scan": _licences(),
     "op9_quality_rules": QUALITY,
+    "op13_ranked_search": RANKED_SEARCH,
 }

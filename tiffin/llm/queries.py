@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm import chat, langid, licenses, mixing, packing, quality, simhash, token_counts, token_files, topk
+from tiffin.llm import chat, langid, lexical, licenses, mixing, packing, quality, simhash, token_counts, token_files, topk
 from tiffin.llm.common import scratch_path, ship_package, stored
 
 
@@ -71,6 +71,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals()
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_top_k_search,
@@ -83,5 +87,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_license_scan,
         op9_quality_rules,
         op10_token_counts,
+        op13_ranked_search,
     )
     return {f.__name__: f for f in every}
