@@ -153,6 +153,27 @@ select *, not base_failed and repeat_covered <= n_words * 0.3::double and longes
 
 UPPER_AZ, LOWER_AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+JACCARD = f"""
+with recursive texts as (
+    select row_number() over () as rid, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), '{UPPER_AZ}', '{LOWER_AZ}'), '[^\\x20\\x09-\\x0D]+') as w
+    from documents
+), sets as (
+    select rid, doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+        else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) end as s
+    from texts
+), grams as (select rid, unnest(s) as gram from sets),
+met as (
+    select a.rid as a, b.rid as b, count(*) as n from grams a join grams b on a.gram = b.gram and a.rid <> b.rid group by a.rid, b.rid
+), links as (
+    select a, b from met join sets x on a = x.rid join sets y on b = y.rid where 100 * n >= 80 * (len(x.s) + len(y.s) - n)
+), reached(a, b) as (select rid, rid from sets union select r.a, l.b from reached r join links l on r.b = l.a),
+first as (select a, min(doc_id) as component_id from reached join sets on b = rid group by a),
+counted as (select a, count(*) as n_links from links group by a)
+select doc_id, len(s) as n_shingles, coalesce(n_links, 0) as n_links, component_id
+from sets left join counted c on rid = c.a join first f on rid = f.a
+"""
+
 RANKED_SEARCH = f"""
 with docs as (
     select row_number() over () as rid, doc_id,
@@ -187,5 +208,6 @@ ORACLE_SQL = {
     "op4_mixing": MIXING,
     "op8_license_scan": _licences(),
     "op9_quality_rules": QUALITY,
+    "op11_ngram_jaccard": JACCARD,
     "op13_ranked_search": RANKED_SEARCH,
 }
