@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tiffin.llm import jaccard
@@ -65,15 +66,18 @@ def family(rng, n, words=60):
     return texts
 
 
-@pytest.mark.parametrize("size", [1, 5])
-def test_sets(documents, size):
+@pytest.mark.parametrize("size,at_once", [(1, 1 << 20), (5, 1 << 20), (5, 3)])
+def test_sets(monkeypatch, documents, size, at_once):
     texts = ["", None, "one", "two Words", "A b C d e", "a b c d e f", " \t x\x0by\x0cz\r\n", "É é É é é", "a a a a a a a"]
     texts += [r.text for r in documents.limit(10).collect()]
-    for t in texts:
-        assert len(jaccard.shingle_set(t, size)) == len(plain_set(t, size))
-    same = [jaccard.shingle_set(t).tolist() for t in ("Ab\tc d  e F", "ab c d e f")]
-    assert same[0] == same[1]
-    assert jaccard.shingle_set("a b c d e").tolist() != jaccard.shingle_set("a b c e d").tolist()
+    plain = [plain_set(t, size) for t in texts]
+    monkeypatch.setattr(jaccard.word_hashes, "__defaults__", (at_once,))
+    sets = [frozenset(s.tolist()) for s in jaccard.shingle_sets(pa.array(texts), size)]
+    alone = [frozenset(jaccard.shingle_sets(pa.array([t], pa.string()), size)[0].tolist()) for t in texts]
+    assert sets == alone and [len(s) for s in sets] == [len(s) for s in plain]
+    assert all(len(a & sets[j]) == len(p & plain[j]) for a, p in zip(sets, plain, strict=True) for j in range(len(texts)))
+    first, second, third = jaccard.shingle_sets(pa.array(["Ab\tc d  e F", "ab c d e f", "ab c d f e"]).slice(0))
+    assert first.tolist() == second.tolist() != third.tolist()
 
 
 def test_equals_all_pairs(documents):
@@ -84,10 +88,8 @@ def test_equals_all_pairs(documents):
 @pytest.mark.parametrize(
     "seed,kw",
     [
-        (1, {}),
-        (2, {"group": 4, "block": 7, "fragments": 3}),
         (3, {"group": 2, "block": 512, "fragments": 1, "least_frequent": 8}),
-        (4, {"group": 16, "block": 5, "bucket_grams": 50, "least_frequent": 9}),
+        (4, {"group": 6, "block": 7, "bucket_grams": 50, "least_frequent": 9, "fragments": 3}),
         (5, {"percent": 50, "group": 6, "block": 9}),
     ],
 )

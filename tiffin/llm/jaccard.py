@@ -34,8 +34,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiffin.llm.common import map_texts, stored, text_slices
-from tiffin.llm.simhash import components, word_runs
+from tiffin.llm.common import WHITE_BYTES, map_texts, stored, text_slices
+from tiffin.llm.simhash import components
+from tiffin.llm.word_hashes import byte_values, mixed, word_hashes
 
 SEED = 42
 #: Bits of an n-gram's hash that are sent beside its bucket, and the bit that marks an n-gram of the frequent list.
@@ -48,28 +49,30 @@ LEAST_FREQUENT = 1024
 BLOCK = 512
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-    return x ^ (x >> np.uint64(29))
+_WORDS = byte_values(WHITE_BYTES)
 
 
-def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
-    """Sorted distinct hashes of a text's ``size``-word shingles (fewer words: of the whole sequence), A-Z lower-cased.
+def shingle_sets(texts: pa.Array, size: int = 5) -> list[np.ndarray]:
+    """Each text's sorted distinct hashes of ``size``-word shingles (fewer words: of the whole sequence).
 
-    A shingle's hash is a sum of its words' XXH64, each times an odd number of its place.
+    A shingle's hash is a sum of its words' hashes, each times an odd number of its place.
     """
-    digest, parts = xxhash.xxh64_intdigest, []
-    for words in word_runs((text or "").encode().lower()):
-        parts.append(np.fromiter((digest(w, SEED) for w in words), dtype=np.uint64, count=len(words)))
-    if not parts:
-        return np.zeros(0, dtype=np.uint64)
-    words = np.concatenate(parts)
-    size = min(size, len(words))
-    total = np.full(len(words) - size + 1, size, dtype=np.uint64)
-    for i in range(size):
-        factor = np.uint64(xxhash.xxh64_intdigest(f"place {i}") | 1)
-        total += words[i : len(words) - size + 1 + i] * factor
-    return np.unique(_mixed(total))
+    words, _, ends = word_hashes(texts, _WORDS)
+    factors = [np.uint64(xxhash.xxh64_intdigest(f"place {i}") | 1) for i in range(size)]
+
+    def hashed(own: np.ndarray, k: int) -> np.ndarray:
+        total = np.full(max(0, len(own) - k + 1), k, dtype=np.uint64)
+        for i in range(k if len(total) else 0):
+            total += own[i : len(own) - k + 1 + i] * factors[i]
+        return mixed(total)
+
+    whole = hashed(words, size)  # shingles over the ends of texts are passed over
+    sets, a = [], 0
+    for b in ends.tolist():
+        own = np.sort(whole[a : b - size + 1]) if b - a >= size else hashed(words[a:b], b - a)[: min(b - a, 1)]
+        sets.append(own[np.append(True, own[1:] != own[:-1])] if len(own) else own)
+        a = b
+    return sets
 
 
 def _key(grams: np.ndarray) -> int:
@@ -81,7 +84,7 @@ def _sized(docs: DataFrame, size: int) -> DataFrame:
 
     def make():
         def work(texts: list) -> dict:
-            sets = [shingle_set(t, size) for t in texts]
+            sets = shingle_sets(pa.array(texts, pa.large_string()), size)
             keys = [_key(s) for s in sets]
             often = [None] * len(texts)
             grams, counts = np.unique(np.concatenate(list(dict(zip(keys, sets, strict=True)).values())), return_counts=True)
@@ -129,8 +132,7 @@ def _shared(docs: DataFrame, size: int, buckets: int, frequent: tuple[np.ndarray
             texts = batch.column("text")
             for a, b in text_slices(texts):
                 sets: dict[int, np.ndarray] = {}
-                for t in texts.slice(a, b - a).to_pylist():
-                    own = shingle_set(t, size)
+                for own in shingle_sets(texts.slice(a, b - a), size):
                     sets.setdefault(_key(own), own)
                 yield dealt(sets)
 
@@ -232,20 +234,22 @@ def _cuts(alive: DataFrame, fragments: int) -> list[float]:
     return sorted(set(found or []))
 
 
-def _candidates(prefixes: DataFrame, percent: int) -> DataFrame:
+def _candidates(prefixes: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b, need) that share a prefix n-gram which isn't hot and can still share ``need`` n-grams together."""
-    side = prefixes.filter(~F.col("hot")).select("gram", "key", "n", "last", "behind", "n_hot")
-    a, b = (side.toDF(*[f"{p}{c}" for c in ("gram", "key", "n", "last", "behind", "n_hot")]) for p in "ab")
+    side = prefixes.filter(~F.col("hot")).select("gram", "key", "n", "last", "behind")
+    a, b = (side.toDF(*[f"{p}{c}" for c in ("gram", "key", "n", "last", "behind")]) for p in "ab")
     near = (F.col("an") * 100 >= F.col("bn") * percent) & (F.col("bn") * 100 >= F.col("an") * percent)
     met = a.join(b, (F.col("agram") == F.col("bgram")) & (F.col("akey") < F.col("bkey")) & near)
     pairs = met.groupBy("akey", "bkey").agg(
-        F.count(F.lit(1)).alias("met"), *[F.any_value(c).alias(c) for x in "ab" for c in (f"{x}n", f"{x}last", f"{x}behind", f"{x}n_hot")]
+        F.count(F.lit(1)).alias("met"), *[F.any_value(c).alias(c) for x in "ab" for c in (f"{x}n", f"{x}last", f"{x}behind")]
     )
+    for x in "ab":
+        pairs = pairs.join(hot.select(F.col("key").alias(f"{x}key"), F.col("n_hot").alias(f"{x}n_hot")), f"{x}key", "left")
     # All that the two share up to the sooner end of their prefixes is met, but for hot n-grams.
     behind = F.when(F.col("alast") < F.col("blast"), F.col("abehind")).when(F.col("alast") > F.col("blast"), F.col("bbehind"))
     behind = F.coalesce(behind, F.least("abehind", "bbehind"))
     need = _pair_overlap(F.col("an"), F.col("bn"), percent)
-    pairs = pairs.withColumn("need", need).filter(F.col("met") + F.least("an_hot", "bn_hot") + behind >= F.col("need"))
+    pairs = pairs.withColumn("need", need).filter(F.col("met") + F.least(F.coalesce("an_hot", F.lit(0)), F.coalesce("bn_hot", F.lit(0))) + behind >= F.col("need"))
     return pairs.select(F.col("akey").alias("a"), F.col("bkey").alias("b"), "need")
 
 
@@ -442,12 +446,12 @@ def join(
     ).select("key", "n", "last", "behind", "_g.df", "_g.gram")
     members = entry.groupBy("gram").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     met = entry.join(members, "gram").withColumn("hot", F.col("members") > group)
-    hot_of = met.filter("hot").groupBy("key").agg(F.count(F.lit(1)).alias("n_hot"))
-    prefixes = stored(met.join(hot_of, "key", "left").withColumn("n_hot", F.coalesce("n_hot", F.lit(0))), "prefixes")
+    prefixes = stored(met, "prefixes")
+    hot = prefixes.filter("hot").groupBy("key").agg(F.count(F.lit(1)).alias("n_hot"))
 
     segments = placed.select("key", F.explode(F.arrays_zip(F.transform("grams", lambda x: x["gram"]).alias("gram"), "at")).alias("_s"))
     segments = segments.groupBy("key", F.col("_s.at").alias("fragment")).agg(F.collect_list("_s.gram").alias("segment"))
-    cold = stored(_counted_links(_candidates(prefixes, percent), segments), "links")
+    cold = stored(_counted_links(_candidates(prefixes, hot, percent), segments), "links")
     found = cold.select("a", "b", F.lit(None).cast("long").alias("n"))
     if not prefixes.filter("hot").isEmpty():
         found = found.union(stored(_hot_links(placed, prefixes, percent, block), "hot_links"))
