@@ -174,6 +174,35 @@ select doc_id, len(s) as n_shingles, coalesce(n_links, 0) as n_links, component_
 from sets left join counted c on rid = c.a join first f on rid = f.a
 """
 
+COLLOCATIONS = f"""
+with pieces as (
+    select coalesce(lang, 'und') as lang,
+        unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER_AZ}', '{LOWER_AZ}'), '[.,;:!?\\x0A-\\x0D]')) as piece
+    from documents
+), worded as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from pieces),
+totals as (select lang, sum(len(w))::bigint as n from worded group by lang),
+spans as (
+    select lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) as phrase
+    from worded cross join (select unnest([1, 2, 3, 4]) as k) where len(w) >= k
+), counted as (select lang, k, phrase, count(*) as f from spans group by lang, k, phrase having count(*) >= 30),
+candidates as (select lang, k, phrase, f as a, string_split(phrase, ' ') as w from counted where k > 1),
+held as (
+    select lang, unnest(list_transform(range(1, k - part + 2), lambda i: array_to_string(w[i : i + part - 1], ' '))) as phrase, a as longer
+    from candidates cross join (select unnest([2, 3]) as part) where part < k
+), covering as (select lang, phrase, max(longer) as longer from held group by lang, phrase),
+kept as (
+    select c.* from candidates c left join covering o on c.lang = o.lang and c.phrase = o.phrase where 100 * coalesce(longer, 0) < 80 * a
+), cuts as (
+    select lang, phrase, a, cut, array_to_string(w[1 : cut], ' ') as head, array_to_string(w[cut + 1 :], ' ') as tail
+    from kept cross join (select unnest([1, 2, 3]) as cut) where cut < k
+), scored as (
+    select c.lang, c.phrase, a, x.f as l, y.f as r, cut, ((2000000::hugeint * a) // (x.f + y.f))::bigint as score
+    from cuts c join counted x on c.lang = x.lang and c.head = x.phrase join counted y on c.lang = y.lang and c.tail = y.phrase
+), worst as (select * from scored qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from worst)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000
+"""
+
 RANKED_SEARCH = f"""
 with docs as (
     select row_number() over () as rid, doc_id,
@@ -209,5 +238,6 @@ ORACLE_SQL = {
     "op8_license_scan": _licences(),
     "op9_quality_rules": QUALITY,
     "op11_ngram_jaccard": JACCARD,
+    "op12_collocations": COLLOCATIONS,
     "op13_ranked_search": RANKED_SEARCH,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm import chat, jaccard, langid, lexical, licenses, mixing, packing, quality, simhash, token_counts, token_files, topk
+from tiffin.llm import chat, collocations, jaccard, langid, lexical, licenses, mixing, packing, quality, simhash, token_counts, token_files, topk
 from tiffin.llm.common import scratch_path, ship_package, stored
 
 
@@ -75,6 +75,10 @@ def op11_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(_table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -92,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_quality_rules,
         op10_token_counts,
         op11_ngram_jaccard,
+        op12_collocations,
         op13_ranked_search,
     )
     return {f.__name__: f for f in every}
