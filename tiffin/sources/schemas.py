@@ -6,8 +6,6 @@ casts every column, so both work. Timestamps are zone-less instants in UTC.
 
 from __future__ import annotations
 
-from pyspark.sql.types import StringType, StructField, StructType
-
 RAW_COLUMNS: dict[str, list[str]] = {
     "couriers": ["courier_id", "city", "vehicle_type", "joined_at", "courier_tier", "rating"],
     "restaurants": ["restaurant_id", "restaurant_name", "cuisine_type", "city", "is_partner", "rating"],
@@ -26,8 +24,3 @@ RAW_COLUMNS: dict[str, list[str]] = {
         "food_price", "discount_amount",
     ],
 }
-
-
-def text_schema(source: str) -> StructType:
-    """All-string schema for reading a source from CSV; staging applies the types."""
-    return StructType([StructField(c, StringType(), True) for c in RAW_COLUMNS[source]])

@@ -3,18 +3,45 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from tiffin.sources.schemas import text_schema
+from tiffin.sources.schemas import RAW_COLUMNS
+
+
+_CORRUPT = "_corrupt_record"
+
+
+def _seed_rows(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """All rows as text under their header's names, and ``_corrupt_record`` with the line of a row that is too short or too long.
+
+    The header decides where a column is; a header that lacks one, or has one twice, fails by name.
+    """
+    header = [c.strip() for c in spark.read.option("header", False).csv(path).first() or []]
+    wanted = RAW_COLUMNS[source]
+    missing, twice = [c for c in wanted if c not in header], sorted({c for c in header if header.count(c) > 1})
+    if missing or twice:
+        raise ValueError(f"seed {source} ({path}): header lacks {missing}, has twice {twice}")
+    schema = StructType([StructField(c, StringType()) for c in [*header, _CORRUPT]])
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT)
+    # Always true, but it keeps every column in the scan: Spark judges a row's length by what it parses.
+    return reader.schema(schema).csv(path).filter(F.length(F.concat_ws("", *header)) >= 0)
 
 
 def read_seed_csv(spark: SparkSession, path: str, source: str) -> DataFrame:
-    """Read a seed CSV with a header row as text columns.
+    """Read a seed CSV with a header row as text columns, in the source's order whatever the file's.
 
-    The default line separator handles CRLF files (a trailing CR is not kept in
-    the last column); staging casts the text to the model types.
+    Columns are found by their header's names; others than the source's are ignored, and rows of another
+    length than the header go to :func:`rejected_seed_rows`. The default line separator handles CRLF files (a
+    trailing CR is not kept in the last column); staging casts the text to the model types.
     """
-    return spark.read.option("header", True).schema(text_schema(source)).csv(path)
+    return _seed_rows(spark, path, source).filter(F.col(_CORRUPT).isNull()).select(*RAW_COLUMNS[source])
+
+
+def rejected_seed_rows(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """(source, line) of the rows that :func:`read_seed_csv` leaves out: every row is in one of the two."""
+    rows = _seed_rows(spark, path, source).filter(F.col(_CORRUPT).isNotNull())
+    return rows.select(F.lit(source).alias("source"), F.col(_CORRUPT).alias("line"))
 
 
 # The monthly USD exchange-rate seed (month, year, period, lcy,
