@@ -59,11 +59,13 @@ def _key_text(keys: Sequence[str], first_raw: bool) -> Column:
     return F.concat(*parts)
 
 
-def _report(model: str, keys: Sequence[str], failure: str, rows: DataFrame, first_raw: bool) -> DataFrame:
+def _report(
+    model: str, keys: Sequence[str], failure: str, rows: DataFrame, first_raw: bool, kind: Column | None = None
+) -> DataFrame:
     return rows.select(
         F.lit(model).alias("model"),
         F.lit("+".join(keys)).alias("column_name"),
-        F.lit(failure).alias("failure_type"),
+        (F.lit(failure) if kind is None else kind).alias("failure_type"),
         _key_text(keys, first_raw).alias("failed_value"),
     )
 
@@ -96,8 +98,48 @@ def check_not_null(
     parts = []
     for name, (df, keys) in models.items():
         cols = list((checked or {}).get(name, keys))
-        any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
-        parts.append(_report(name, keys, "null", df.filter(any_null), _first_is_date(df, keys)))
+        parts.append(_report(name, keys, "null", df.filter(any_missing(cols)), _first_is_date(df, keys)))
+    return _union(parts)
+
+
+def any_missing(columns: Sequence[str]) -> Column:
+    """Whether a key column is null."""
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+
+
+def key_metrics(columns: Sequence[str]) -> list[Column]:
+    """Aggregates for ``DataFrame.observe``: rows, and rows with a null among ``columns``."""
+    return [F.count(F.lit(1)).alias("rows"), F.count_if(any_missing(columns)).alias("missing_keys")]
+
+
+def sla_metrics() -> list[Column]:
+    """Aggregates for ``DataFrame.observe``: delivered orders whose flag and rounded threshold disagree, by side."""
+    total, rounded = F.col("total_delivery_mins"), F.round(sla_threshold(), 1)
+    base = (F.col("order_status") == "delivered") & total.isNotNull()
+    flag = F.col("is_sla_breach")
+    return [
+        F.count_if(base & flag & (total <= rounded)).alias("sla_false_positive"),
+        F.count_if(base & ~flag & (total > rounded)).alias("sla_false_negative"),
+    ]
+
+
+def check_written(tables: Mapping[str, DataFrame], metrics: Mapping[str, Mapping[str, int]]) -> DataFrame:
+    """The key report over written marts: each is read once, for its key columns alone.
+
+    One aggregate by key finds repeated keys and, only where the build's ``metrics`` counted
+    any, those with a null: a null key's row is reported as often as it stands there.
+    """
+    parts = []
+    for name, df in tables.items():
+        keys, checked = MART_KEYS[name], MART_NOT_NULL_KEYS[name]
+        groups = df.groupBy(*keys).count()
+        failures = F.when(F.col("count") > 1, F.array(F.struct(F.lit("duplicate").alias("type"), F.lit(1).cast("long").alias("times"))))
+        found = F.coalesce(failures, F.expr("array()").cast("array<struct<type:string,times:bigint>>"))
+        if metrics[name]["missing_keys"]:
+            nulls = F.when(any_missing(checked), F.array(F.struct(F.lit("null").alias("type"), F.col("count").alias("times"))))
+            found = F.concat(found, F.coalesce(nulls, F.expr("array()").cast("array<struct<type:string,times:bigint>>")))
+        rows = groups.select(*keys, F.explode(found).alias("_f")).withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_f.times"))))
+        parts.append(_report(name, keys, "", rows, _first_is_date(df, keys), F.col("_f.type")))
     return _union(parts)
 
 

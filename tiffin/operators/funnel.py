@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -126,6 +129,12 @@ def _channel_keys() -> list[Column]:
     ]
 
 
+CHANNEL_ORDER_COLUMNS = [
+    *CHANNEL_KEYS, "total_orders", "unique_customers", "first_orders", "repeat_orders", "total_gmv", "total_discount",
+    "total_net_revenue", "avg_order_value", "discount_rate", "net_revenue_per_customer", "sla_breached_orders", "sla_breach_rate",
+]
+
+
 def op_checkout_counts(events: DataFrame) -> DataFrame:
     """Distinct sessions with a CHECKOUT event per (channel, campaign, voucher)."""
     return (
@@ -135,15 +144,24 @@ def op_checkout_counts(events: DataFrame) -> DataFrame:
     )
 
 
+def first_orders(orders: DataFrame) -> DataFrame:
+    """Customers whose first order (by placed_at, order_id; null customers are one) came by each (channel, campaign, voucher).
+
+    An arg-min per customer: the least (placed_at, order_id) carries its keys, so no order is
+    numbered, and a hot customer is one group of a partial aggregate.
+    """
+    keyed = orders.select("customer_id", "placed_at", "order_id", *_channel_keys())
+    least = keyed.groupBy("customer_id").agg(F.min(F.struct("placed_at", "order_id", *CHANNEL_KEYS)).alias("_first"))
+    return least.groupBy(*[F.col(f"_first.{k}").alias(k) for k in CHANNEL_KEYS]).agg(F.count(F.lit(1)).alias("first_orders"))
+
+
 def op_channel_order_agg(orders: DataFrame) -> DataFrame:
-    """Order aggregates per (channel, campaign, voucher), all statuses."""
+    """Order aggregates per (channel, campaign, voucher), all statuses; ``orders`` need no order number."""
     breach = count_true(F.col("is_sla_breach") == True)  # noqa: E712
     customers = F.count_distinct("customer_id")
-    return orders.groupBy(*_channel_keys()).agg(
+    totals = orders.groupBy(*_channel_keys()).agg(
         F.count(F.lit(1)).alias("total_orders"),
         customers.alias("unique_customers"),
-        count_true(F.col("is_first_order")).alias("first_orders"),
-        count_true(~F.col("is_first_order")).alias("repeat_orders"),
         F.round(F.sum("gmv"), 0).alias("total_gmv"),
         F.round(F.sum("discount_amount"), 0).alias("total_discount"),
         F.round(F.sum("net_revenue"), 0).alias("total_net_revenue"),
@@ -153,6 +171,11 @@ def op_channel_order_agg(orders: DataFrame) -> DataFrame:
         breach.alias("sla_breached_orders"),
         F.round(safe_divide(breach, count_true(F.col("order_status") == "delivered")), 4).alias("sla_breach_rate"),
     )
+    firsts = first_orders(orders).toDF(*[f"_{k}" for k in CHANNEL_KEYS], "first_orders")
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in CHANNEL_KEYS])
+    first = F.coalesce("first_orders", F.lit(0).cast("long"))
+    joined = totals.join(firsts, same, "left").withColumns({"first_orders": first, "repeat_orders": F.col("total_orders") - first})
+    return joined.select(*CHANNEL_ORDER_COLUMNS)
 
 
 CHANNEL_PERFORMANCE_COLUMNS = [

@@ -99,13 +99,16 @@ def op_durations(df: DataFrame) -> DataFrame:
     )
 
 
-def op_order_sequence(df: DataFrame) -> DataFrame:
+def op_order_sequence(df: DataFrame, context: DataFrame | None = None) -> DataFrame:
     """user_order_number (all statuses, by placed_at then order_id) and is_first_order.
 
-    Orders are numbered within a customer's hour, plus the customer's orders of earlier hours.
+    Orders are numbered within a customer's second, plus the customer's orders of earlier seconds of the hour and of
+    earlier hours: a customer with a third of all orders in one hour is 3,600 groups. ``context`` (one row a
+    customer_id) reaches the orders in the same shuffle.
     """
-    hour = F.floor(F.timestamp_diff("MINUTE", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), "placed_at") / 60)
-    seq = sequence_within(df, ["customer_id"], ["placed_at", "order_id"], "user_order_number", hour)
+    second = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.date_trunc("second", "placed_at").cast("timestamp_ntz"))
+    hour = F.floor(second / 3600)
+    seq = sequence_within(df, ["customer_id"], ["placed_at", "order_id"], "user_order_number", hour, second, context=context)
     return seq.withColumn("is_first_order", F.col("user_order_number") == 1)
 
 

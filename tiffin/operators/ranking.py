@@ -16,33 +16,55 @@ from pyspark.sql import functions as F
 STEPS_PER_E = 256
 
 
-def _row_keys(group_cols: list[str], bucket: Column) -> dict[str, Column]:
-    """The group and its bucket as columns without nulls, so that the window and the join share one exchange.
+def _row_keys(group_cols: list[str], buckets: list[Column]) -> dict[str, Column]:
+    """The group and its buckets as columns without nulls, so that the window and the join share one exchange.
 
     Group columns are whole numbers; a null group is one group, apart from 0.
     """
     keys: dict[str, Column] = {}
     for i, c in enumerate(group_cols):
         keys |= {f"_g{i}": F.coalesce(F.col(c), F.lit(0)).cast("long"), f"_n{i}": F.col(c).isNull()}
-    return keys | {"_bucket": F.coalesce(bucket.cast("long"), F.lit(-(1 << 62)))}
+    return keys | {f"_bucket{i}": F.coalesce(b.cast("long"), F.lit(-(1 << 62))) for i, b in enumerate(buckets)}
+
+
+def _before(counts: DataFrame, group: list[str], buckets: list[str]) -> DataFrame:
+    """``counts`` (group, buckets, _rows) with ``_before``, the group's rows in all earlier buckets.
+
+    Level by level: sums over the coarsest bucket are added up within the group, those of
+    the next within one coarse bucket, and so on, so no window holds more than one level's buckets.
+    """
+    *outer, last = buckets
+    earlier = Window.partitionBy(*group, *outer).orderBy(last).rowsBetween(Window.unboundedPreceding, -1)
+    own = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    if not outer:
+        return own
+    coarse = counts.groupBy(*group, *outer).agg(F.sum("_rows").alias("_rows"))
+    base = _before(coarse, group, outer).select(*group, *outer, F.col("_before").alias("_base"))
+    return own.join(base, [*group, *outer]).withColumn("_before", F.col("_before") + F.col("_base")).drop("_base")
 
 
 def sequence_within(
-    df: DataFrame, group_cols: list[str], order_cols: list[str], out_col: str, bucket: Column
+    df: DataFrame, group_cols: list[str], order_cols: list[str], out_col: str, *buckets: Column, context: DataFrame | None = None
 ) -> DataFrame:
     """Add ``out_col`` = 1-based ROW_NUMBER within ``group_cols`` by ``order_cols``.
 
-    ``bucket`` is a whole number that grows with the order (null first, as in the
-    order). Rows are numbered within (group, bucket), and the group's rows in earlier
-    buckets, from a narrow aggregate, are added. The wide rows are shuffled once, by
-    (group, bucket), for the window and the join together. The one limit left is a
-    single bucket of a single group, which is one task's work.
+    Each of ``buckets``, from the coarsest on, is a whole number that grows with the order
+    (null first, as in the order); a finer one lies within one coarser bucket. Rows are numbered within (group, buckets), and the
+    group's rows in earlier buckets, from a narrow aggregate, are added. The wide rows are shuffled
+    once, by (group, buckets), for the window and the join together. The one limit left is
+    a single finest bucket of a single group, which is one task's work.
+
+    ``context``, at most one row a group with the first of ``group_cols`` as its key, is joined to the narrow
+    aggregate (null to nothing), so its columns reach the rows in the same shuffle.
     """
-    keys = _row_keys(group_cols, bucket)
+    keys = _row_keys(group_cols, list(buckets))
     names = list(keys)
     counts = df.select(*[e.alias(c) for c, e in keys.items()]).groupBy(*names).agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.partitionBy(*names[:-1]).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select(*names, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    levels = [c for c in names if c.startswith("_bucket")]
+    before = _before(counts, names[: -len(levels)], levels).drop("_rows")
+    if context is not None:
+        known = context.withColumnRenamed(group_cols[0], "_key")
+        before = before.join(known, (F.col("_g0") == F.col("_key")) & ~F.col("_n0"), "left").drop("_key")
     in_bucket = Window.partitionBy(*names).orderBy(*order_cols)
     numbered = df.withColumns(keys).withColumn("_row", F.row_number().over(in_bucket))
     joined = numbered.join(before, names)

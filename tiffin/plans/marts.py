@@ -173,12 +173,16 @@ def churn_counts(orders: DataFrame) -> DataFrame:
     )
 
 
-def fact_user_metrics(orders: DataFrame, context: DataFrame, fx: DataFrame) -> DataFrame:
-    """Orders with user context, churn tier and USD amounts."""
-    ctx = context.select("customer_id", *USER_CONTEXT_COLUMNS, "churn_risk_tier")
-    joined = orders.join(ctx, "customer_id", "left").withColumn(
-        "churn_risk_tier", F.coalesce("churn_risk_tier", F.lit("LOW"))
-    )
+METRICS_CONTEXT = ["customer_id", *USER_CONTEXT_COLUMNS, "churn_risk_tier"]
+
+
+def fact_user_metrics(orders: DataFrame, context: DataFrame | None, fx: DataFrame) -> DataFrame:
+    """Orders with user context, churn tier and USD amounts.
+
+    ``context`` is a :func:`customer_context`; None where the orders have METRICS_CONTEXT already.
+    """
+    joined = orders if context is None else orders.join(context.select(*METRICS_CONTEXT), "customer_id", "left")
+    joined = joined.withColumn("churn_risk_tier", F.coalesce("churn_risk_tier", F.lit("LOW")))
     return cu.op_fx_convert(joined, fx).select(*FACT_USER_METRICS_COLUMNS)
 
 
@@ -228,17 +232,17 @@ def _order_dimensions(orders: DataFrame, restaurants: DataFrame, couriers: DataF
 TIER_COLUMNS = ["customer_id", "customer_segment", "churn_risk_tier"]
 
 
-def _join_tiers(df: DataFrame, context: DataFrame) -> DataFrame:
+def _join_tiers(df: DataFrame, context: DataFrame | None) -> DataFrame:
     # Every order with a customer_id has a fact_user_metrics row whose tier
     # defaults to LOW; an order without one matches nothing.
-    joined = df.join(context.select(*TIER_COLUMNS), "customer_id", "left")
+    joined = df if context is None else df.join(context.select(*TIER_COLUMNS), "customer_id", "left")
     return joined.withColumn(
         "churn_risk_tier", F.when(F.col("customer_id").isNotNull(), F.coalesce("churn_risk_tier", F.lit("LOW")))
     )
 
 
-def fact_orders(orders: DataFrame, restaurants: DataFrame, couriers: DataFrame, context: DataFrame) -> DataFrame:
-    """Wide order fact; ``context`` is a :func:`customer_context`."""
+def fact_orders(orders: DataFrame, restaurants: DataFrame, couriers: DataFrame, context: DataFrame | None) -> DataFrame:
+    """Wide order fact; ``context`` is a :func:`customer_context`, None where the orders have TIER_COLUMNS already."""
     return _join_tiers(_order_dimensions(orders, restaurants, couriers), context).select(*FACT_ORDERS_COLUMNS)
 
 

@@ -13,12 +13,14 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
+from tiffin.operators import checks as ck
 from tiffin.plans import marts as mt
 from tiffin.plans import staging as st
 from tiffin.sources.fixtures import RawSources
-from tiffin.sources.sinks import MART_LAYOUT, SCHEMA, register_view, write_named_table, write_table
+from tiffin.sources.sinks import MART_LAYOUT, SCHEMA, overwrite_days, register_view, write_named_table, write_table
 from tiffin.sources.tables import SourceTables
 
 
@@ -80,19 +82,25 @@ class Models:
     def fact_funnel(self) -> DataFrame:
         return self._get("fact_funnel", lambda: mt.fact_funnel(self.stg_events()))
 
+    def _orders_in_context(self, columns: list[str]) -> tuple[DataFrame, DataFrame | None]:
+        """stg_orders and the customer context to join; where stg_orders isn't stored, numbers and
+        context reach the orders in one shuffle, and nothing is left to join."""
+        if "stg_orders" in self.overrides:
+            return self.stg_orders(), self.customer_context()
+        return st.stg_orders(self.raw.orders(), self.customer_context().select(*columns)), None
+
     def fact_user_metrics(self) -> DataFrame:
         return self._get(
             "fact_user_metrics",
-            lambda: mt.fact_user_metrics(self.stg_orders(), self.customer_context(), self.stg_exchange_rates()),
+            lambda: mt.fact_user_metrics(*self._orders_in_context(mt.METRICS_CONTEXT), self.stg_exchange_rates()),
         )
 
     def fact_orders(self) -> DataFrame:
-        return self._get(
-            "fact_orders",
-            lambda: mt.fact_orders(
-                self.stg_orders(), self.stg_restaurants(), self.stg_couriers(), self.customer_context()
-            ),
-        )
+        def made() -> DataFrame:
+            orders, context = self._orders_in_context(mt.TIER_COLUMNS)
+            return mt.fact_orders(orders, self.stg_restaurants(), self.stg_couriers(), context)
+
+        return self._get("fact_orders", made)
 
     def fact_delivery(self) -> DataFrame:
         return self._get(
@@ -105,7 +113,7 @@ class Models:
     def fact_channel_performance(self) -> DataFrame:
         return self._get(
             "fact_channel_performance",
-            lambda: mt.fact_channel_performance(self.fact_funnel(), self.stg_orders(), self.stg_events()),
+            lambda: mt.fact_channel_performance(self.fact_funnel(), self.enriched_orders(), self.stg_events()),
         )
 
 
@@ -153,7 +161,8 @@ LEVELS = [
 
 
 def build(
-    models: Models, out_dir: str, timings: dict[str, float] | None = None, concurrency: int = 4, schema: str = SCHEMA
+    models: Models, out_dir: str, timings: dict[str, float] | None = None, concurrency: int = 4, schema: str = SCHEMA,
+    metrics: dict[str, dict[str, int]] | None = None,
 ) -> dict[str, str]:
     """Register the staging views and write the marts as tables ``schema``.name under ``out_dir``.
 
@@ -162,7 +171,8 @@ def build(
     each other and are submitted ``concurrency`` at a time (the warehouse build's thread
     count); Spark interleaves their jobs. A written table is the lineage cut: a lost
     executor re-runs at most the current level's tasks. ``timings`` receives the seconds
-    spent writing each table. Returns the tables' folders.
+    spent writing each table, ``metrics`` what is counted of each mart and of stg_orders on the way (rows, rows with a
+    null key, SLA flags that disagree), without another read. Returns the tables' folders.
     """
     spark = models.raw.spark
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
@@ -171,10 +181,15 @@ def build(
     def write(name: str) -> tuple[str, float]:
         t0 = time.perf_counter()
         df = getattr(models, name)()
+        seen = Observation(name)
         if name in MART_LAYOUT:
-            write_named_table(df, f"{schema}.{name}", paths[name], *MART_LAYOUT[name])
+            df = df.observe(seen, *ck.key_metrics(ck.MART_NOT_NULL_KEYS[name]))
+            paths[name] = write_named_table(df, f"{schema}.{name}", paths[name], *MART_LAYOUT[name])
         else:
-            write_table(df, paths[name])
+            own = ck.sla_metrics() if name == "stg_orders" else []
+            write_table(df.observe(seen, *ck.key_metrics(["customer_id"]), *own), paths[name])
+        if metrics is not None:
+            metrics[name] = seen.get
         return name, round(time.perf_counter() - t0, 3)
 
     for level in LEVELS:
@@ -187,3 +202,14 @@ def build(
     for name in STAGING:
         register_view(getattr(models, name)(), name)
     return paths
+
+
+def refresh_funnel(models: Models, path: str, days: list) -> None:
+    """Rebuild these days of the written fact_funnel under ``path`` from all events of the days, late ones included.
+
+    A day's funnel depends on its own events, so only the days that new events touch are
+    read and replaced (dynamic partition overwrite); a day that has lost all its funnel rows keeps its old ones.
+    """
+    day, clustered = MART_LAYOUT["fact_funnel"]
+    events = models.stg_events().filter(F.col("event_date").isin(days))
+    overwrite_days(mt.fact_funnel(events), path, day, clustered)

@@ -148,10 +148,11 @@ def enriched_orders(raw: DataFrame) -> DataFrame:
     return _enriched(typed_orders(raw))
 
 
-def stg_orders(raw: DataFrame) -> DataFrame:
-    """Typed orders through the nine order operators; 47 columns.
+def stg_orders(raw: DataFrame, context: DataFrame | None = None) -> DataFrame:
+    """Typed orders through the nine order operators; 47 columns, and those of ``context`` (one row a customer_id).
 
     Orders are numbered first, so that the shuffle carries the typed columns and none of
-    those derived from them.
+    those derived from them; the context comes with the numbers.
     """
-    return _enriched(od.op_order_sequence(typed_orders(raw))).select(*od.STG_ORDERS_COLUMNS)
+    own = [] if context is None else [c for c in context.columns if c != "customer_id"]
+    return _enriched(od.op_order_sequence(typed_orders(raw), context)).select(*od.STG_ORDERS_COLUMNS, *own)

@@ -7,6 +7,7 @@ so Parquet min/max statistics let scans skip row groups.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -37,11 +38,32 @@ def write_table(
 
 def write_named_table(
     df: DataFrame, table: str, path: str, partition_by: str | None = None, cluster_by: Sequence[str] = ()
-) -> None:
-    """Write ``df`` as the external Parquet table ``table`` over ``path``; a table of that name is replaced."""
-    df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
-    writer = _laid_out(df, partition_by, cluster_by).write.mode("overwrite").option("path", path)
-    (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(table)
+) -> str:
+    """Write ``df`` as the external Parquet table ``table``; returns the folder of this version, below ``path``.
+
+    Each write is a new folder and a table of its own name. Only when it is complete does it
+    take the name ``table``: a write that fails leaves the old table and its files as they were.
+    Folders of earlier versions stay for readers that still use them; their owner removes them.
+    """
+    spark, version = df.sparkSession, uuid.uuid4().hex
+    folder, new, old = f"{path.rstrip('/')}/version={version}", f"{table}_new_{version}", f"{table}_old_{version}"
+    writer = _laid_out(df, partition_by, cluster_by).write.mode("errorifexists").option("path", folder)
+    try:
+        (writer.partitionBy(partition_by) if partition_by else writer).saveAsTable(new)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {new}")
+        raise
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {old}")
+    return folder
+
+
+def overwrite_days(df: DataFrame, path: str, partition_by: str, cluster_by: Sequence[str] = ()) -> None:
+    """Replace in the day-partitioned table under ``path`` the days that ``df`` has rows of, and no other."""
+    writer = _laid_out(df, partition_by, cluster_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(partition_by).parquet(path)
 
 
 # The marts' schema.
