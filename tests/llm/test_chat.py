@@ -90,3 +90,19 @@ def test_groups_are_bounded_whatever_the_turn_numbers(spark):
     for c, lines in ((1, rows[:n]), (None, rows[n : 2 * n])):
         text = "".join(got[k][2] for k in sorted((k for k in got if k[0] == c), key=lambda k: k[1]))
         assert sorted(text.split("<|im_end|>\n")[:-1]) == sorted(f"<|im_start|>user\n{t}" for _, _, _, t in lines)
+
+
+def test_sql_numbers_turns_by_place_too(spark):
+    import duckdb
+
+    from tiffin.llm.oracle import ORACLE_SQL
+
+    rows = [(1, i, "user", f"t{i}") for i in range(1, 301)]  # from one on
+    rows += [(2, 10**12 * i, "user", f"u{i}") for i in range(3)] + [(3, i - 600, None, f"v{i}") for i in range(600)]
+    rows += [(4, None, "user", "w"), (4, 0, "user", "x"), (4, 7, None, None), (None, 5, "user", "y")]
+    con = duckdb.connect()
+    con.execute("create table conversations (conv_id bigint, turn bigint, role varchar, text varchar)")
+    con.executemany("insert into conversations values (?, ?, ?, ?)", rows)
+    table = con.execute(ORACLE_SQL["op3_chat_formatting"]).fetchall()
+    assert {(c, part): (n, copies, text) for c, part, n, copies, text in table} == formatted(spark, rows)
+    assert formatted(spark, rows)[2, 0][0] == 3

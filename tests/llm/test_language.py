@@ -93,3 +93,12 @@ def test_odd_documents(odd_documents, no_documents):
     assert langid.language_of(no_documents, ["doc_id"]).count() == 0
     unlabelled = odd_documents.withColumn("lang", odd_documents.lang.substr(9, 1)).selectExpr("doc_id", "text", "nullif(lang, '') as lang")
     assert {r.lang_pred for r in langid.language_of(unlabelled, ["doc_id"]).collect()} == {"und"}
+
+
+def test_every_label_is_learned_and_rows_without_an_id_teach(spark):
+    rows = [(None, f"{chr(97 + i % 26)}{chr(97 + i // 26)} word{'x' * (i % 7)}", f"l{i:03d}") for i in range(520)]
+    profiles = langid.learn(spark.createDataFrame(rows, "key long, text string, lang string"), top=20)
+    assert len(profiles) == 520
+    many = [(None, "aa bb" if i % 2 else "cc dd", "x" if i % 2 else "y") for i in range(4000)]
+    profiles = langid.learn(spark.createDataFrame(many, "key long, text string, lang string").repartition(4), sample=100, top=20)
+    assert sorted(profiles) == ["x", "y"]

@@ -9,15 +9,15 @@ SCHEMA = "vec_id long, embedding array<float>, score long, rank int, v int"
 
 
 def brute(rows, k, every=20):
-    usable = {
+    usable = [
         (i, tuple(math.floor(64 * float(np.float32(x))) for x in v))
         for i, v, *_ in rows
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
-    }
+    ]
     out = []
     for q in sorted({i for i, _ in usable if i % every == 0}):
-        own = [v for i, v in usable if i == q]
-        scored = {(-sum(a * b for a, b in zip(w, v, strict=False)), i) for w in own for i, v in usable if i != q}
+        own = {v for i, v in usable if i == q}
+        scored = [(-sum(a * b for a, b in zip(w, v, strict=False)), i) for w in own for i, v in usable if i != q]
         out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(sorted(scored)[:k])]
     return sorted(out)
 
@@ -56,3 +56,10 @@ def test_nulls_lengths_repeats_and_few_rows(spark):
     assert found(spark, rows, 2) == brute(rows, 2)
     assert found(spark, rows[:1], 20) == []
     assert found(spark, [], 20) == []
+
+
+def test_rows_that_share_an_id_and_a_score_are_results_of_their_own(spark):
+    rows = [(1, [1.0, 0.5], 0, 0, 0), (1, [1.0, 0.25], 0, 0, 0), (2, [0.5, 0.0], 0, 0, 0), (2, [0.5, 0.0], 0, 0, 0), (20, [1.0, 0.0], 0, 0, 0)]
+    expected = [(20, 1, 1, 4096), (20, 2, 1, 4096), (20, 3, 2, 2048), (20, 4, 2, 2048)]
+    assert found(spark, rows, 20) == brute(rows, 20) == expected
+    assert found(spark, rows, 3, row_block=2) == expected[:3]

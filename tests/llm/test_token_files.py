@@ -47,6 +47,19 @@ def test_odd_documents(odd_documents, no_documents, plain):
     assert token_files.round_trip(no_documents).count() == 0
 
 
+def test_every_key_is_found_whatever_stands_first(spark, odd_documents, plain):
+    keys = spark.createDataFrame([(k,) for k in [*range(-1, 13), None]], "doc_id long")
+    some = spark.createDataFrame([(None, "a b"), (1, "c"), (2, "d e f"), (3, "g"), (3, "h"), (3, "i j"), (4, "k")], "doc_id long, text string")
+    for docs, sizes in ((odd_documents, (1 << 25, 10, 4)), (some.coalesce(1), (1 << 25, 1, 2, 3, 5))):
+        for size in sizes:
+            manifest, folder, rows = check(docs, plain, shard_ids=size)
+            found = {r.doc_id: r.ids for r in token_files.lookup(manifest, folder, keys).collect()}
+            first = {}
+            for r in sorted((r for r in rows if r.doc_id is not None), key=lambda r: r.start):
+                first.setdefault(r.doc_id, r.ids)
+            assert found == first
+
+
 def test_crc_of_the_query(spark, documents, plain):
     from tiffin.llm.queries import op7_token_ids
 

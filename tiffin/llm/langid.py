@@ -96,18 +96,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def learn(labelled: DataFrame, sample: int = 1500, languages: int = 500, top: int = TOP) -> dict[str, list[int]]:
+def learn(labelled: DataFrame, sample: int = 1500, top: int = TOP) -> dict[str, list[int]]:
     """Profiles from rows (``key``, ``text``, ``lang``), null languages and texts left out.
 
-    Each of at most ``languages`` languages (those with most rows, ties by name) is
-    learned from about ``sample`` rows, chosen by a hash of ``key``; both bounds
-    make the classifier's fit small, and nothing else.
+    Every language is learned, each from about ``sample`` rows, chosen by a hash of ``key`` and the
+    row's place in its partition, so that rows that share a key, or have none, are chosen one by one. The bound
+    makes the classifier's fit small, and nothing else; profiles grow with the languages alone.
     """
-    labelled = labelled.filter("lang is not null and text is not null")
-    share = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).orderBy(F.desc("_n"), "lang").limit(languages)
-    share = share.select("lang", (F.lit(float(sample)) / F.col("_n")).alias("_share"))
-    place = F.xxhash64("key", F.lit("profile")).bitwiseAND(F.lit((1 << 40) - 1)) / F.lit(float(1 << 40))
-    chosen = labelled.join(F.broadcast(share), "lang").filter(place < F.col("_share")).select("lang", "text")
+    labelled = labelled.filter("lang is not null and text is not null").withColumn("_at", F.monotonically_increasing_id())
+    share = labelled.groupBy("lang").agg((F.lit(float(sample)) / F.count(F.lit(1))).alias("_share"))
+    place = F.xxhash64("key", "_at", F.lit("profile")).bitwiseAND(F.lit((1 << 40) - 1)) / F.lit(float(1 << 40))
+    chosen = labelled.join(share, "lang").filter(place < F.col("_share")).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

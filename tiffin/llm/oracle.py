@@ -14,11 +14,10 @@ with usable as (
     from embeddings
     where vec_id is not null and embedding is not null
       and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
-), vectors as (select distinct vec_id, v from usable),
+), asked as (select distinct vec_id, v from usable where vec_id % 20 = 0),
 scored as (
     select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
-    from vectors q join vectors c on c.vec_id <> q.vec_id
-    where q.vec_id % 20 = 0
+    from asked q join usable c on c.vec_id <> q.vec_id
 ), ranked as (
     select *, row_number() over (partition by query_id order by score desc, vec_id)::int as rank from scored
 )
@@ -30,17 +29,22 @@ with lines as (
     select distinct conv_id, turn, role, text,
         '<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10) as line
     from conversations
+), placed as (
+    -- The place of a turn, from 0 for the first one with a number; rows that share a number stand by role and text here.
+    select *, row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) - 1
+        - count(*) filter (turn is null) over (partition by conv_id) as place
+    from lines
 ), whole as (
-    select conv_id, count(*) as n, list(struct_pack(role := role, text := text) order by turn) as said from lines group by conv_id
+    select conv_id, count(*) as n, list(struct_pack(role := role, text := text) order by place) as said from placed group by conv_id
 ), single as (select min(conv_id) as conv_id, count(*) as copies, any_value(n) as n, said from whole group by said),
 kept as (
     select conv_id, copies from single a
     where not exists (select 1 from single b where b.n > a.n and b.said[1] = a.said[1] and b.said[1:a.n] = a.said)
 )
-select conv_id, coalesce(floor(turn / {CHUNK}), -1)::bigint as part, count(*) as n_turns, any_value(copies) as copies,
-    string_agg(line, '' order by turn) as text
-from lines join kept using (conv_id)
-group by conv_id, part
+select placed.conv_id, floor(place / {CHUNK})::bigint as part, count(*) as n_turns, any_value(copies) as copies,
+    string_agg(line, '' order by place) as text
+from placed join kept on placed.conv_id is not distinct from kept.conv_id
+group by placed.conv_id, part
 """
 
 MIXING = """

@@ -74,7 +74,7 @@ class _Writer:
         self.out.write(NAME + trailer.tobytes())
         self.out.close()
         self.files.move(self.partial, self.path)
-        known = [k for k in (self.keys[0], self.keys[-1]) if k is not None]
+        known = self.keys[nulls:]  # null keys stand first
         return {"documents": len(keys), "ids": int(starts[-1]), "first_key": known[0] if known else None, "last_key": known[-1] if known else None}
 
 
@@ -209,8 +209,8 @@ def lookup(manifest: DataFrame, folder: str, keys: DataFrame, key: str = "doc_id
     """Ids of single documents by key: (key, ids); keys without a document give no row.
 
     The manifest's key ranges (a few numbers a shard) go to the tasks; a key is
-    looked up in each shard whose range holds it, by its number and fingerprint, and the
-    first document with that key is read. A task keeps the shard it used last open.
+    looked up in the first shard whose range holds it, by its number and fingerprint, and the
+    first document with that key, which is in that shard, is read. A task keeps the shard it used last open.
     """
     ranges = [
         tuple(r) for r in manifest.filter(F.col("first_key").isNotNull()).orderBy("slice", "part").select("first_key", "last_key", "name").collect()

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tiffin.llm.common import stored
+from tiffin.llm.common import row_number_column, stored
 
 SCALE = 64
 
@@ -78,7 +78,7 @@ def _cell(k: int, sent: int, lists: int, resolve: bool):
         made: list[tuple[np.ndarray, ...]] = []
         if len(rows) and len(queries):
             dims = max(max(map(len, rows["v"])), max(map(len, queries["w"])))
-            vectors, ids = _matrix(rows["v"], dims), rows["vec_id"].to_numpy(np.int64)
+            vectors, ids, rids = _matrix(rows["v"], dims), rows["vec_id"].to_numpy(np.int64), rows["rid"].to_numpy(np.int64)
             for i in range(0, len(queries), 256):
                 some = queries.iloc[i : i + 256]
                 local = _lists(_matrix(some["w"], dims), vectors, lists)
@@ -100,9 +100,9 @@ def _cell(k: int, sent: int, lists: int, resolve: bool):
                     if resolve:
                         found, total = found[total >= cutoff], total[total >= cutoff]
                     best = _best(total, ids[found], sent)
-                    made.append((np.full(len(best), own), ids[found][best], total[best]))
-        parts = [np.concatenate(x) for x in zip(*made, strict=True)] if made else [np.zeros(0, np.int64)] * 3
-        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), parts, strict=True)))
+                    made.append((np.full(len(best), own), ids[found][best], rids[found][best], total[best]))
+        parts = [np.concatenate(x) for x in zip(*made, strict=True)] if made else [np.zeros(0, np.int64)] * 4
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "rid", "score"), parts, strict=True)))
 
     return lambda key, rows, queries: run(rows, queries)
 
@@ -120,14 +120,13 @@ def top_k(
 
     ``vectors``: vec_id, embedding. One row a result: query_id, rank (from 1),
     vec_id, score. Vectors that are null or hold null or non-finite components, and
-    rows with a null vec_id, take no part. Repeated rows count once; different vectors
-    with one vec_id are candidates of their own, and as queries share one list of
-    results. Vectors of different lengths are compared over the shorter's components. A
+    rows with a null vec_id, take no part. Every row is a candidate of its own, repeated rows and
+    rows that share a vec_id included; queries that share a vec_id share one list of results, and equal ones are one. Vectors of different lengths are compared over the shorter's components. A
     query without candidates, and an empty table, give no rows. Scores beyond 64 bits wrap.
     """
     usable = vectors.select("vec_id", whole_components(F.col("embedding"), scale).alias("v"), is_query.alias("q"))
     usable = usable.filter(F.col("v").isNotNull() & F.col("vec_id").isNotNull())
-    usable = stored(usable.groupBy("vec_id", "v").agg(F.max(F.coalesce("q", F.lit(False))).alias("q")), "vectors")
+    usable = stored(usable.withColumns({"q": F.coalesce("q", F.lit(False)), "rid": row_number_column()}), "vectors")
     n_rows, n_queries = usable.agg(F.count(F.lit(1)), F.count_if("q")).first()
     row_blocks, query_blocks = max(1, -(-n_rows // row_block)), max(1, -(-n_queries // query_block))
 
@@ -135,16 +134,16 @@ def top_k(
         place = F.pmod(F.xxhash64(*df.columns), F.lit(blocks)).cast("int")
         return df.withColumn(own, place).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
 
-    rows = dealt(usable.select("vec_id", "v"), "rb", row_blocks, "qb", query_blocks)
-    asked = usable.filter("q").select(F.col("vec_id").alias("query_id"), F.col("v").alias("w"))
+    rows = dealt(usable.select("vec_id", "v", "rid"), "rb", row_blocks, "qb", query_blocks)
+    asked = usable.filter("q").select(F.col("vec_id").alias("query_id"), F.col("v").alias("w")).distinct()
     queries = dealt(asked, "qb", query_blocks, "rb", row_blocks)
-    schema = "query_id long, vec_id long, score long"
+    schema = "query_id long, vec_id long, rid long, score long"
 
     def in_cells(asked_with: DataFrame, sent: int, resolve: bool) -> DataFrame:
         pairs = rows.groupBy("qb", "rb").cogroup(asked_with.groupBy("qb", "rb"))
         return pairs.applyInPandas(_cell(k, sent, lists, resolve), schema)
 
-    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id", "rid")
     numbered = F.row_number().over(by_score)
     gathered = in_cells(queries, min(k, -(-4 * k // row_blocks)), False).distinct().withColumn("_r", numbered).filter(F.col("_r") <= k)
     cutoffs = gathered.groupBy("query_id").agg(
