@@ -18,9 +18,9 @@ def brute(docs):
             continue
         units = {*text.split("\n"), *re.split(r"\n[ \t\r]*\n", text), text}
         for b in {plain_bigrams(u) for u in units} - {frozenset()}:
-            for i, name, t in known:
-                dice = 2 * len(b & t) / (len(b) + len(t))
-                if dice >= licenses.LEAST:
+            scores = [2 * len(b & t) / (len(b) + len(t)) for _, _, t in known]
+            for (i, name, _), dice in zip(known, scores, strict=True):
+                if dice >= licenses.LEAST and dice == max(scores):
                     out.setdefault((doc_id, name), {}).setdefault(b, []).append((dice, -i))
     return {k: (max(x for v in found.values() for x in v), len(found)) for k, found in out.items()}
 
@@ -53,6 +53,18 @@ def test_notices_over_lines_and_changed_words(spark):
     assert {k for k in got if k[0] < 4} == {(1, "MIT"), (2, "MIT"), (3, "MIT")} and (5, "CC-BY-NC-4.0") in got
 
 
+def test_a_unit_states_its_best_template_alone(spark):
+    notices = {
+        "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+        "CC-BY-NC-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "GPL-2.0": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    }
+    rows = [(i, f"some text\n{t}\nmore") for i, t in enumerate(notices.values())]
+    got = scanned(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert set(got) == set(enumerate(notices)) and got == brute(rows)
+
+
 def test_odd_documents(odd_documents, no_documents):
     got = scanned(odd_documents)
     assert got == brute([(r.doc_id, r.text) for r in odd_documents.collect()])

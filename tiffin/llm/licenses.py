@@ -6,13 +6,13 @@ coefficient of t only with templates of t a / (2 - t) to (2 - t) a / t
 bigrams, so each size joins just the templates within its bounds, an equi-join on
 the size with a table made from the fixed templates below.
 
-DataFrame functions only. Units are never shuffled; what matches is summed by
-(document, licence).
+DataFrame functions only. Units are never shuffled; what matches meets by (document,
+unit), where the best template counts, and is summed by (document, licence).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Licence notices as their stewards publish them or as projects commonly quote them.
@@ -47,6 +47,12 @@ TEMPLATES = (
         "the specific language governing permissions and limitations under the License.",
     ),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public "
+        "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any "
+        "later version.",
+    ),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "Licensed under the GNU General Public License v3.0."),
     (
@@ -116,9 +122,9 @@ def scan(docs: DataFrame, templates: tuple = TEMPLATES, least: float = LEAST) ->
     (that unit's), n_units (distinct units that match). Units are a text's lines, its
     paragraphs (between blank lines) and the text.
 
-    Null texts and texts of fewer than two words match nothing and give no row. A unit that
-    reaches ``least`` with several templates counts for each; ties in dice go to the
-    smaller template number. Repeated doc_ids (null ones too) are reported
+    Null texts and texts of fewer than two words match nothing and give no row. Licences may differ in
+    a word, so a unit that reaches ``least`` with several templates counts for the best of them alone,
+    or for all that tie; within a licence, ties go to the smaller template number. Repeated doc_ids (null ones too) are reported
     together, an empty table gives no rows, other columns are ignored.
     """
     known = template_table(docs.sparkSession, templates)
@@ -140,11 +146,14 @@ def scan(docs: DataFrame, templates: tuple = TEMPLATES, least: float = LEAST) ->
         .join(F.broadcast(by_size), "_size")  # the fixed templates times the sizes within their bounds
         .withColumn("dice", F.lit(2.0) * F.size(F.array_intersect("_b", "_tb")) / (F.col("_size") + F.size("_tb")))
         .filter(F.col("dice") >= least)
+        .withColumn("_unit", F.xxhash64(F.array_sort("_b")))
+        .withColumn("_most", F.max("dice").over(Window.partitionBy("doc_id", "_unit")))
+        .filter(F.col("dice") == F.col("_most"))
     )
     best = F.max(F.struct("dice", (-F.col("template")).alias("_t")))
     return (
         found.groupBy("doc_id", "license")
-        .agg(best.alias("_best"), F.count_distinct(F.xxhash64("_b")).alias("n_units"))
+        .agg(best.alias("_best"), F.count_distinct("_unit").alias("n_units"))
         .select("doc_id", "license", "_best.dice", (-F.col("_best._t")).alias("template"), "n_units")
     )
 

@@ -99,9 +99,12 @@ paired as (select doc_id, {pairs.format("w")} as b from worded where len(w) > 1)
 scored as (
     select doc_id, license, template, list_sort(b) as b, 2.0::double * len(list_intersect(b, tb)) / (len(b) + len(tb)) as dice
     from paired join known on 2.0 * least(len(b), len(tb)) / (len(b) + len(tb)) >= {LEAST}::double - 1e-9
+), best as (
+    select * from scored where dice >= {LEAST}::double
+    qualify dice = max(dice) over (partition by doc_id, array_to_string(b, '|'))
 )
 select doc_id, license, max(dice) as dice, arg_max(template, dice * 1000 - template)::int as template, count(distinct b) as n_units
-from scored where dice >= {LEAST}::double
+from best
 group by doc_id, license
 """
 
