@@ -95,7 +95,9 @@ def test_odd_documents(odd_documents, no_documents):
     assert {r.lang_pred for r in langid.language_of(unlabelled, ["doc_id"]).collect()} == {"und"}
 
 
-def test_every_label_is_learned_and_rows_without_an_id_teach(spark):
+@pytest.mark.parametrize("broadcast", [1 << 16, 3])
+def test_every_label_is_learned_and_rows_without_an_id_teach(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(langid, "BROADCAST_LANGUAGES", broadcast)
     rows = [(None, f"{chr(97 + i % 26)}{chr(97 + i // 26)} word{'x' * (i % 7)}", f"l{i:03d}") for i in range(520)]
     profiles = langid.learn(spark.createDataFrame(rows, "key long, text string, lang string"), top=20)
     assert len(profiles) == 520

@@ -22,10 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tiffin.llm.common import map_texts
+from tiffin.llm.common import map_texts, stored
 
 TOP = 300
 SPACE = 1
+#: Sampling rates of so many languages are broadcast (some megabytes).
+BROADCAST_LANGUAGES = 1 << 16
 _PIECE = 1 << 20
 
 
@@ -104,7 +106,9 @@ def learn(labelled: DataFrame, sample: int = 1500, top: int = TOP) -> dict[str,
     makes the classifier's fit small, and nothing else; profiles grow with the languages alone.
     """
     labelled = labelled.filter("lang is not null and text is not null").withColumn("_at", F.monotonically_increasing_id())
-    share = labelled.groupBy("lang").agg((F.lit(float(sample)) / F.count(F.lit(1))).alias("_share"))
+    share = stored(labelled.groupBy("lang").agg((F.lit(float(sample)) / F.count(F.lit(1))).alias("_share")), "shares")
+    if share.count() <= BROADCAST_LANGUAGES:  # texts stay where they are; beyond it they are shuffled
+        share = F.broadcast(share)
     place = F.xxhash64("key", "_at", F.lit("profile")).bitwiseAND(F.lit((1 << 40) - 1)) / F.lit(float(1 << 40))
     chosen = labelled.join(share, "lang").filter(place < F.col("_share")).select("lang", "text")
 
