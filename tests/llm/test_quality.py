@@ -85,3 +85,29 @@ def test_odd_documents(odd_documents, no_documents):
 
 def test_covered_spans():
     assert quality.covered(np.array([2, 0, 0, 1, 0, 3, 0, 0]), np.array([0, 4, 4, 8])).tolist() == [3, 0, 3]
+
+
+def test_memory_grows_with_the_words(tmp_path):
+    import subprocess
+    import sys
+
+    code = "import resource; from tiffin.llm import quality; m = quality.measures(['a b ' * {n}], 10); peak = resource.getrusage(resource.RUSAGE_SELF); print(m['longest_repeat'][0], m['repeat_covered'][0], peak.ru_maxrss // 1024)"
+
+    def run(n):
+        out = subprocess.run([sys.executable, "-c", code.format(n=n)], capture_output=True, text=True, check=True, timeout=300)
+        longest, cover, mb = map(int, out.stdout.split()[-3:])
+        assert (longest, cover) == (2 * n - 2, 2 * n)
+        return mb
+
+    idle, small, large = run(10), run(500_000), run(2_000_000)
+    assert large - idle < 600 and large - idle < 6 * (small - idle)
+
+
+def test_long_repeats_equal_all_pairs():
+    rng = random.Random(11)
+    for words, size in ((1, 40), (2, 60), (3, 60), (30, 80)):
+        part = [str(rng.randrange(words)) for _ in range(size)]
+        texts = [" ".join(part + part[: size // 2] + part), "", " ".join(part), " ".join(part[::-1] + part)]
+        got = quality.measures(texts, 10)
+        for i, text in enumerate(texts):
+            assert {k: int(v[i]) for k, v in got.items()} == plain_measures(text, 10)

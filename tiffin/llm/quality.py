@@ -3,13 +3,14 @@
 Texts of a batch stand one after another, each word numbered within its text, so
 that no suffix of one text equals a part of another. Prefix doubling sorts the
 suffixes: those still tied on their first 2^k words are sorted by the ranks of what
-follows, the others are done. The longest common prefix of neighbouring suffixes
-follows from the ranks kept at each k. A suffix's longest repeat is the larger of
-its two common prefixes, the top of the LCP intervals that hold it; the union of
-these spans is what maximal repeated passages cover.
-
-Memory: 4 bytes x words x (log2 of the longest repeat + 1) for one slice of texts
-(about 1 million characters, or a single longer text).
+follows, the others are done. The common prefix of a suffix with the one before it in the
+order is compared word by word only where the words in front of the two differ; elsewhere it is
+one shorter than that of the suffix in front. So all lengths are exact, and no level of ranks is
+kept. A suffix's longest repeat is the larger of its two common prefixes, the top of the LCP
+intervals that hold it; the union of these spans is what maximal repeated passages cover.
+
+Memory: about 60 bytes a word of one slice of texts (about 1 million characters, or a single
+longer text), whatever repeats in it.
 """
 
 from __future__ import annotations
@@ -34,73 +35,92 @@ def word_numbers(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     before = np.concatenate([[0], np.cumsum(filled)])
     offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
     words = flat.filter(pa.array(filled)).dictionary_encode().indices.to_numpy()
-    return words.astype(np.int64), before[offsets]
+    return words, before[offsets]
 
 
 def _group_starts(keys: np.ndarray) -> np.ndarray:
     """For sorted keys, the place of the first equal one."""
     new = np.concatenate([[True], keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, bool)
-    return np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))
+    return np.maximum.accumulate(np.where(new, np.arange(len(keys), dtype=np.int32), np.int32(0)))
+
+
+def _suffix_array(first: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Suffixes in order, by prefix doubling from ``place``, sorted by their first words' ranks ``first``."""
+    n, width, rank = len(first), 1, first.copy()
+    while True:
+        sorted_rank = rank[place]
+        same = sorted_rank[1:] == sorted_rank[:-1]
+        at = np.flatnonzero(np.concatenate([same, [False]]) | np.concatenate([[False], same])).astype(np.int32)
+        if not len(at):
+            return place
+        key = sorted_rank[at].astype(np.int64) * (n + 1)
+        del sorted_rank, same
+        tied = place[at]
+        inside = tied < n - width
+        key[inside] += rank[tied[inside] + width].astype(np.int64) + 1
+        by = np.argsort(key, kind="stable")
+        tied, key = tied[by], key[by]
+        del by
+        place[at] = tied  # a tied group keeps its places in the order
+        rank[tied] = at[_group_starts(key)]
+        width *= 2
+
+
+def _matching(words: np.ndarray, a: np.ndarray, b: np.ndarray, at_once: int = 1 << 18) -> np.ndarray:
+    """Length of the common prefix of each pair of suffixes, compared word by word in widening blocks."""
+    n, width = len(words), 8
+    out = np.zeros(len(a), dtype=np.int32)
+    live = np.arange(len(a))
+    while len(live):
+        still, step, steps = [], max(1, at_once // width), np.arange(width, dtype=np.int32)
+        for s in range(0, len(live), step):
+            part = live[s : s + step]
+            x, y = (a[part] + out[part])[:, None] + steps, (b[part] + out[part])[:, None] + steps
+            same = (words[np.minimum(x, n - 1)] == words[np.minimum(y, n - 1)]) & (np.maximum(x, y) < n)
+            run = np.where(same.all(axis=1), width, same.argmin(axis=1))
+            out[part] += run.astype(np.int32)
+            still.append(part[run == width])
+        live, width = np.concatenate(still), min(2 * width, at_once)
+    return out
 
 
 def longest_repeats(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """For each word, the length of the longest passage from it on that its text holds twice or more."""
     n = len(words)
-    longest = np.zeros(n, dtype=np.int64)
     if n < 2:
-        return longest
-    text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    key = text * (int(words.max()) + 1) + words
-    order = np.argsort(key, kind="stable")
-    first = _group_starts(key[order])
-    rank = np.empty(n, dtype=np.int32)
-    rank[order] = first
-    ranks, width = [rank], 1
-    place = np.empty(n, dtype=np.int64)  # the suffix at each place of the suffix array
-    place[:] = order
-    while True:
-        size = np.bincount(rank, minlength=n)
-        tied = np.flatnonzero(size[rank] > 1)
-        if not len(tied):
-            break
-        after = tied + width
-        second = np.where(after < n, rank[np.minimum(after, n - 1)].astype(np.int64) + 1, 0)
-        key = rank[tied].astype(np.int64) * (n + 1) + second
-        by = np.argsort(key, kind="stable")
-        key, sorted_tied = key[by], tied[by]
-        group = _group_starts(rank[sorted_tied])
-        at = rank[sorted_tied] + np.arange(len(by)) - group  # place in the suffix array
-        place[at] = sorted_tied
-        rank = rank.copy()
-        rank[sorted_tied] = (at - (np.arange(len(by)) - _group_starts(key))).astype(np.int32)
-        ranks.append(rank)
-        width *= 2
-    left, right = place[:-1], place[1:]
-    levels = [np.flatnonzero(ranks[0][left] == ranks[0][right])]
-    for r in ranks[1:]:
-        pairs = levels[-1]
-        levels.append(pairs[r[left[pairs]] == r[right[pairs]]])
-    common = np.zeros(n - 1, dtype=np.int64)
-    for k in range(len(ranks) - 1, -1, -1):
-        pairs = levels[k]
-        a, b = left[pairs] + common[pairs], right[pairs] + common[pairs]
-        inside = (a < n) & (b < n)
-        r = ranks[k]
-        same = inside & (r[np.minimum(a, n - 1)] == r[np.minimum(b, n - 1)])
-        common[pairs[same]] += 1 << k
-    np.maximum.at(longest, left, common)
-    np.maximum.at(longest, right, common)
+        return np.zeros(n, dtype=np.int32)
+    key = np.repeat(np.arange(len(starts) - 1) * (int(words.max()) + 1), np.diff(starts)) + words
+    place = np.argsort(key, kind="stable").astype(np.int32)
+    first = np.empty(n, dtype=np.int32)
+    first[place] = _group_starts(key[place])
+    del key
+    place = _suffix_array(first, place)
+    before = np.full(n, -1, dtype=np.int32)  # the suffix that stands before each one in the order
+    before[place[1:]] = place[:-1]
+    del place
+    # Where the words in front agree too, the suffix in front has this common prefix and a word more.
+    follows = before[1:] >= 1
+    follows &= first[:-1] == first[np.maximum(before[1:], 1) - 1]
+    heads = np.flatnonzero(np.concatenate([[True], ~follows])).astype(np.int32)
+    own = np.zeros(len(heads), dtype=np.int32)
+    paired = before[heads] >= 0
+    own[paired] = _matching(first, heads[paired], before[heads[paired]])
+    run = np.diff(np.append(heads, np.int32(n)))
+    common = np.repeat(own + heads, run) - np.arange(n, dtype=np.int32)
+    longest = common.copy()
+    after = np.flatnonzero(before >= 0)
+    longest[before[after]] = np.maximum(longest[before[after]], common[after])
     return longest
 
 
 def covered(spans: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Words of each text in the union of spans: ``spans[i]`` words from word i on."""
     n = len(spans)
-    change = np.zeros(n + 1, dtype=np.int64)
+    change = np.zeros(n + 1, dtype=np.int32)
     at = np.flatnonzero(spans)
     np.add.at(change, at, 1)
     np.add.at(change, at + spans[at], -1)
-    inside = np.concatenate([[0], np.cumsum(np.cumsum(change[:-1]) > 0)])
+    inside = np.concatenate([[0], np.cumsum(np.cumsum(change[:-1], dtype=np.int32) > 0)])
     return np.diff(inside[starts])
 
 
