@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from tiffin.llm.common import scratch_path
 from tiffin.llm.token_counts import Rollup, token_counts
 from tiffin.llm.tokens import Encoder, tokenizer_path
@@ -21,9 +23,9 @@ def totals(rollup):
 
 def test_deltas_equal_a_recount(spark):
     rng = random.Random(2)
-    rollup, state = Rollup(spark, scratch_path(spark, "rollup")), {}
+    rollup, state, scans = Rollup(spark, scratch_path(spark, "rollup"), fold=2), {}, []
     assert totals(rollup) == {}
-    for batch in range(4):
+    for batch in range(6):
         rows = []
         for doc_id in rng.sample([None, *range(12)], 8):
             op, version = rng.choice(["insert", "revise", "delete", "other"]), rng.choice(["v1", "v2"])
@@ -38,7 +40,25 @@ def test_deltas_equal_a_recount(spark):
         assert totals(rollup) == plain_totals(state)
         assert not rollup.apply(f"b{batch}", df)
         assert totals(rollup) == plain_totals(state)
-    assert [c.batch for c in rollup.commits()] == ["b0", "b1", "b2", "b3"]
+        scans.append(rollup.live()._jdf.queryExecution().optimizedPlan().toString().count("Relation ["))
+    assert max(scans) == 3 and not rollup.committed("b6")  # a snapshot and two batches, however many came before
+    assert all(not rollup.apply(f"b{batch}", df) for batch in range(6))
+    rollup.compact()
+    assert totals(rollup) == plain_totals(state)
+
+
+def test_of_two_writers_at_one_place_the_second_fails(spark, monkeypatch):
+    path = scratch_path(spark, "rollup")
+    first, second = Rollup(spark, path), Rollup(spark, path)
+    rows = spark.createDataFrame([("insert", 1, "a", "en", "v", 5, 0, 1, 1)], SCHEMA)
+    seen = second._state()
+    assert first.apply("x", rows)
+    with monkeypatch.context() as stale:
+        stale.setattr(second, "_state", lambda: seen)
+        with pytest.raises(Exception, match="(?i)exist"):
+            second.apply("x", rows)
+    assert totals(first) == {("a", "en", "v"): (1, 5)}
+    assert not second.apply("x", rows) and second.apply("y", rows) and totals(second) == {("a", "en", "v"): (1, 5)}
 
 
 def test_the_last_change_of_a_batch_holds(spark):
