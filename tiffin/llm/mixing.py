@@ -6,13 +6,16 @@ source's size, and the excess goes to the others by weight. Each document of a
 source expects target / size copies; the running sum of expected copies, started
 at one random offset for the source, emits a copy at each integer it passes. In a
 source the documents stand in the order of size, so that each step of the sum
-passes over documents of like size and the words taken come near the target.
+passes over documents of like size and the words taken come near the target. The
+offset is, of a few drawn for the source, the one whose words come closest to it:
+in a small source one long document more or less decides that.
 
 Plan: sizes are stored narrow; sources are summed and numbered from a range sort;
 the cut of the targets is a short loop that fetches three sums a round; places
 within sources come from one range sort by (source, size, document) and the
 counts of (source, slice), so that a source with most rows is spread over many
-tasks. The running sum over equal expectations is place x expectation.
+tasks. The running sum over equal expectations is place x expectation, so the
+words that each drawn offset takes are plain sums by source and draw, one partial aggregate.
 """
 
 from __future__ import annotations
@@ -24,14 +27,20 @@ from tiffin.llm.common import matched, null_safe, row_number_column, sorted_slic
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
+DRAWS = 32
 
 
-def source_offset(source: Column, seed: str) -> Column:
-    """The source's random offset in [0, 1), the same on every run of a seed: 32 bits of an MD5."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(source, F.lit("\x00")).cast("string")).cast("binary"))
+def source_offset(source: Column, seed: str, draw: int = 0) -> Column:
+    """An offset of the source in [0, 1), the same on every run of a seed: 32 bits of an MD5."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:{draw}:"), F.coalesce(source, F.lit("\x00")).cast("string")).cast("binary"))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
 
 
+def passed(place: Column, offset: Column) -> Column:
+    """Copies of the document at ``place``: the integers that its step of the running sum passes."""
+    return (F.floor((place + 1) * F.col("_rate") + offset) - F.floor(place * F.col("_rate") + offset)).cast("long")
+
+
 def numbered(df: DataFrame, group: list[str], order: list[str], out: str, label: str) -> DataFrame:
     """``df`` with each row's place from 0 within ``group`` in ``order``, which should identify a row.
 
@@ -73,7 +82,7 @@ def source_targets(by_source: DataFrame, weights: tuple = WEIGHTS, most: int = M
 
 
 def mix(
-    docs: DataFrame, keep: tuple = (), weights: tuple = WEIGHTS, most: int = MOST, seed: str = "mix-1"
+    docs: DataFrame, keep: tuple = (), weights: tuple = WEIGHTS, most: int = MOST, seed: str = "mix-1", draws: int = DRAWS
 ) -> DataFrame:
     """Copies of each document (``doc_id``, ``text``, ``source``) in the mix.
 
@@ -91,20 +100,19 @@ def mix(
     )
     by_source = stored(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "by_source")
     targets = source_targets(by_source, weights, most)
-    rates = targets.select(
-        F.col("source").alias("_source"),
-        "source_size",
-        "target",
-        F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0)).alias("_rate"),
-        source_offset(F.col("source"), seed).alias("_offset"),
+    rate = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
+    offsets = F.array(*[source_offset(F.col("source"), seed, draw) for draw in range(draws)])
+    rates = stored(targets.withColumns({"_rate": rate, "_offsets": offsets}), "rates")
+    placed = stored(numbered(sized, ["source"], ["size", "doc_id", "rid"], "_place", "places"), "placed")
+    by_place = placed.join(rates.withColumnRenamed("source", "_source"), placed["source"].eqNullSafe(F.col("_source")))
+    tried = by_place.select("_source", "target", "size", "_place", "_rate", F.posexplode("_offsets").alias("_draw", "_tried"))
+    taken = tried.groupBy("_source", "target", "_draw", "_tried").agg(
+        F.sum(F.col("size") * passed(F.col("_place"), F.col("_tried"))).alias("_words")
     )
-    placed = numbered(sized, ["source"], ["size", "doc_id", "rid"], "_place", "places")
-    joined = placed.join(rates, placed["source"].eqNullSafe(rates["_source"]))
-
-    def passed(place: Column) -> Column:
-        return F.floor(place * F.col("_rate") + F.col("_offset"))
-
-    copies = (passed(F.col("_place") + 1) - passed(F.col("_place"))).cast("long")
+    missed = F.struct(F.abs(F.col("_words") - F.col("target")), "_draw")
+    chosen = taken.groupBy(F.col("_source").alias("_from")).agg(F.min_by("_tried", missed).alias("_offset"))
+    joined = by_place.join(chosen, F.col("_source").eqNullSafe(F.col("_from")))
+    copies = passed(F.col("_place"), F.col("_offset"))
     return joined.withColumn("copies", copies).select(
         "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *keep
     )

@@ -65,15 +65,24 @@ with sized as (
     -- The first step at which no source that is left goes over; later ones hold too much back.
     select max((total - held)::double / free::double) filter (where (total - held)::double / free::double * weight <= top) as share from bounded
 ), targets as (
-    select source, source_size, least(weight * share, top::double) as target,
-        ('0x' || substr(md5('mix-1:' || coalesce(source, chr(0))), 1, 8))::bigint / 4294967296.0::double as u
-    from bounded cross join share
+    select source, source_size, least(weight * share, top::double) as target from bounded cross join share
+), drawn as (
+    select *, ('0x' || substr(md5('mix-1:' || draw || ':' || coalesce(source, chr(0))), 1, 8))::bigint / 4294967296.0::double as u
+    from targets cross join range(32) as draws(draw)
 ), placed as (
     select doc_id, source, size, row_number() over (partition by source order by size, doc_id) - 1 as place from sized
 ), rated as (
-    select p.*, t.source_size, t.target, case when t.source_size = 0 then 0 else t.target / t.source_size end as rate, t.u
-    from placed p join targets t on p.source is not distinct from t.source
-), counted as (select *, (floor((place + 1) * rate + u) - floor(place * rate + u))::bigint as copies from rated)
+    select p.*, t.source_size, t.target, t.draw, t.u, case when t.source_size = 0 then 0 else t.target / t.source_size end as rate
+    from placed p join drawn t on p.source is not distinct from t.source
+), copied as (
+    select *, (floor((place + 1) * rate + u) - floor(place * rate + u))::bigint as copies from rated
+), totals as (
+    select source, draw, abs(sum(copies * size) - target) as missed from copied group by source, draw, target
+), best as (
+    select source, draw from totals qualify row_number() over (partition by source order by missed, draw) = 1
+), counted as (
+    select c.* from copied c join best b on c.source is not distinct from b.source and c.draw = b.draw
+)
 select doc_id, source, size, source_size, target, copies, copies * size as taken from counted
 """
 
