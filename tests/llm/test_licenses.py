@@ -4,25 +4,36 @@ import string
 from tiffin.llm import licenses
 
 
-def plain_bigrams(unit):
-    lower = unit.translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase))
-    w = re.sub("[^a-z0-9]+", " ", lower).strip(" ").split(" ")
+def plain_words(text):
+    lower = text.translate(str.maketrans(string.ascii_uppercase, string.ascii_lowercase))
+    return re.sub("[^a-z0-9]+", " ", lower).strip(" ").split(" ")
+
+
+def plain_bigrams(w):
     return frozenset(zip(w, w[1:], strict=False))
 
 
 def brute(docs):
-    known = [(i, name, plain_bigrams(t)) for i, (name, t) in enumerate(licenses.TEMPLATES)]
+    words = [plain_words(t) for _, t in licenses.TEMPLATES]
+    sets = [plain_bigrams(w) for w in words]
     out = {}
-    for doc_id, text in docs:
-        if text is None:
-            continue
-        units = {*text.split("\n"), *re.split(r"\n[ \t\r]*\n", text), text}
-        for b in {plain_bigrams(u) for u in units} - {frozenset()}:
-            scores = [2 * len(b & t) / (len(b) + len(t)) for _, _, t in known]
-            for (i, name, _), dice in zip(known, scores, strict=True):
-                if dice >= licenses.LEAST and dice == max(scores):
-                    out.setdefault((doc_id, name), {}).setdefault(b, []).append((dice, -i))
-    return {k: (max(x for v in found.values() for x in v), len(found)) for k, found in out.items()}
+    for doc_id, text in {(d, t) for d, t in docs if t is not None}:
+        w = plain_words(text)
+        found = set()
+        for i, (own, b) in enumerate(zip(words, sets, strict=True)):
+            rare = sorted(b, key=lambda g: (sum(g in other for other in sets), -len(" ".join(g)), " ".join(g)))
+            for g in rare[: len(b) // 3 + 1]:
+                place = next(k for k in range(len(own)) if tuple(own[k : k + 2]) == g)
+                for at in (k for k in range(len(w) - 1) if (w[k], w[k + 1]) == g):
+                    lo, hi = max(at - place, 0), min(at - place + len(own), len(w))
+                    part = plain_bigrams(w[lo:hi])
+                    dice = 2 * len(part & b) / (len(part) + len(b))
+                    if dice >= licenses.LEAST:
+                        found.add((lo, hi, dice, i, part))
+        for lo, hi, dice, i, part in found:
+            if not any(o[0] < hi and lo < o[1] and o[2] > dice for o in found):
+                out.setdefault((doc_id, licenses.TEMPLATES[i][0]), set()).add((dice, -i, part))
+    return {k: (max(v[:2] for v in found), len({v[2] for v in found})) for k, found in out.items()}
 
 
 def scanned(df):
@@ -65,6 +76,44 @@ def test_a_unit_states_its_best_template_alone(spark):
     assert set(got) == set(enumerate(notices)) and got == brute(rows)
 
 
+def test_notices_anywhere_in_a_text(spark):
+    gpl = next(t for name, t in licenses.NOTICES if name == "GPL-3.0" and len(t) > 100).split()
+    block = "/*\n * tool.c\n *\n" + "".join(f" * {' '.join(gpl[i : i + 8])}\n" for i in range(0, len(gpl), 8)) + " *\n */\nint main() {}\n"
+    rows = [
+        (1, "The code of this page, as all that we publish here, is yours. Released under the MIT License. Have fun with it and write to us."),
+        (2, block),
+        (3, "# SPDX-License-Identifier: LGPL-2.1\nimport os"),
+        (4, "word " * 3000 + licenses.TEMPLATES[4][1] + " word" * 3000),
+        (5, "The licence of a work says under which terms others may copy, change and distribute it."),
+        (6, "this permission notice shall be included in all copies or substantial portions of the software and then some"),
+    ]
+    got = scanned(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got == brute(rows)
+    assert {k for k in got if k[0] < 6} == {(1, "MIT"), (2, "GPL-3.0"), (3, "LGPL-2.1"), (4, "MIT")}
+
+
+def test_every_template_is_found_and_states_its_licence(spark):
+    rows = [(i, f"some words before it {t} and some more behind") for i, (_, t) in enumerate(licenses.TEMPLATES)]
+    got = scanned(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got == brute(rows)
+    assert set(got) == {(i, name) for i, (name, _) in enumerate(licenses.TEMPLATES)}
+
+
+def test_sql_states_the_same_rule(spark, tmp_path):
+    import duckdb
+
+    from tiffin.llm.oracle import ORACLE_SQL
+
+    rows = [(i, f"words {t} more\n{licenses.TEMPLATES[i - 1][1]}") for i, (_, t) in enumerate(licenses.TEMPLATES)]
+    rows += [(7, rows[7][1]), (None, rows[3][1]), (None, None), (9, ""), (9, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    db = duckdb.connect()
+    db.register("documents", df.toPandas())
+    said = db.sql(ORACLE_SQL["op8_license_scan"]).df()
+    told = {(None if r.doc_id != r.doc_id else r.doc_id, r.license): ((r.dice, -r.template), r.n_units) for r in said.itertuples()}
+    assert told == scanned(df) == brute(rows)
+
+
 def test_odd_documents(odd_documents, no_documents):
     got = scanned(odd_documents)
     assert got == brute([(r.doc_id, r.text) for r in odd_documents.collect()])

@@ -1,22 +1,28 @@
-"""Licence scan: lines and paragraphs compared with licence templates by Dice coefficient over word bigrams.
-
-Texts and templates are normalised alike (ASCII lower case, everything but
-letters and digits to one space). A unit with a distinct bigrams reaches a Dice
-coefficient of t only with templates of t a / (2 - t) to (2 - t) a / t
-bigrams, so each size joins just the templates within its bounds, an equi-join on
-the size with a table made from the fixed templates below.
-
-DataFrame functions only. Units are never shuffled; what matches meets by (document,
-unit), where the best template counts, and is summed by (document, licence).
+"""Licence scan: windows of a text compared with licence templates by Dice coefficient over word bigrams.
+
+Texts and templates are normalised alike (ASCII lower case, everything but letters and
+digits to one space), so line breaks and comment marks don't count. A notice may stand
+anywhere: in a line of prose, over lines, in a comment block. What has a Dice coefficient of
+0.8 with a template lacks at most a third of the template's bigrams, whatever its size, so it
+holds one of the template's anchors, its rarest third and one more. An equi-join on anchors
+finds their places, and only there a window of the template's length is compared; where a text
+ends inside a window, the sizes bound the coefficient first.
+
+DataFrame functions only. Words are never shuffled; windows that match meet by (document,
+place), where the best template counts, and are summed by (document, licence).
 """
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Licence notices as their stewards publish them or as projects commonly quote them.
-TEMPLATES = (
+NOTICES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "This project is licensed under the terms of the MIT license."),
@@ -88,7 +94,67 @@ TEMPLATES = (
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    (
+        "MIT",
+        'The software is provided "as is", without warranty of any kind, express or implied, including but not limited to '
+        "the warranties of merchantability, fitness for a particular purpose and noninfringement. In no event shall the "
+        "authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, "
+        "tort or otherwise, arising from, out of or in connection with the software or the use or other dealings in the "
+        "software.",
+    ),
+    (
+        "BSD-3-Clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission.",
+    ),
+    (
+        "LGPL-2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) "
+        "any later version.",
+    ),
+    (
+        "LGPL-3.0",
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version.",
+    ),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+        "any later version.",
+    ),
+    (
+        "EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+        "which is available at https://www.eclipse.org/legal/epl-2.0/",
+    ),
+    (
+        "BSL-1.0",
+        "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at "
+        "https://www.boost.org/LICENSE_1_0.txt)",
+    ),
+    (
+        "Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+        "for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the "
+        "following restrictions:",
+    ),
+    (
+        "Unlicense",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form "
+        "or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ),
+    ("WTFPL", "Do What The Fuck You Want To Public License"),
+)
+# Identifiers that source files name in a line of their own.
+IDENTIFIERS = (
+    "MIT", "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0",
+    "ISC", "Unlicense", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "EPL-2.0", "BSL-1.0", "Zlib", "WTFPL",
 )
+TEMPLATES = (*NOTICES, *((name, f"SPDX-License-Identifier: {name}") for name in IDENTIFIERS))
 LEAST = 0.8
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -97,63 +163,79 @@ def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(text, UPPER, LOWER), "[^a-z0-9]+", " "))
 
 
-def bigrams(words: Column) -> Column:
-    """Distinct pairs of neighbouring words; ``words`` is evaluated often, so it should be a column or a variable."""
+def pairs(words: Column) -> Column:
+    """Each two neighbouring words; ``words`` is evaluated often, so it should be a column or a variable."""
     n = F.greatest(F.size(words) - 1, F.lit(0))
-    return F.array_distinct(F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat_ws(" ", a, b)))
+    return F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.concat_ws(" ", a, b))
 
 
-def unit_bigrams(units: Column) -> Column:
-    """The bigrams of each of an array of texts; each step binds its result to a variable."""
-    return F.transform(F.transform(units, lambda unit: F.split(normalised(unit), " ")), bigrams)
+def anchor_rows(templates: tuple, least: float) -> list[tuple]:
+    """(pair, template, license, place, words, bigrams) of each anchor of each of the fixed templates.
+
+    A template with b bigrams has anchors for all that a match may lack, and one more: those that
+    the fewest templates hold, of these the longest, at the first place they have in the template.
+    """
+    lower = str.maketrans(UPPER, LOWER)
+    words = [re.sub("[^a-z0-9]+", " ", text.translate(lower)).split() for _, text in templates]
+    held = [{f"{a} {b}" for a, b in zip(w, w[1:], strict=False)} for w in words]
+    holders = Counter(pair for own in held for pair in own)
+    t, out = Fraction(str(least)), []
+    for i, ((name, _), w, own) in enumerate(zip(templates, words, held, strict=True)):
+        places = [f"{a} {b}" for a, b in zip(w, w[1:], strict=False)]
+        rarest = sorted(own, key=lambda pair: (holders[pair], -len(pair), pair))
+        lacking = int(len(own) * (1 - t / (2 - t)))
+        out += [(pair, i, name, places.index(pair), len(w), sorted(own)) for pair in rarest[: lacking + 1]]
+    return out
 
 
-def template_table(spark: SparkSession, templates: tuple = TEMPLATES) -> DataFrame:
-    """(template, license, b): the fixed templates' bigrams by the same functions."""
-    rows = [(i, name, text) for i, (name, text) in enumerate(templates)]
-    table = spark.createDataFrame(rows, "template int, license string, _t string")
-    return table.select("template", "license", F.explode(unit_bigrams(F.array("_t"))).alias("_tb"))
+def anchor_table(spark: SparkSession, templates: tuple, least: float) -> DataFrame:
+    schema = "_pair string, template int, license string, _place int, _words int, _tb array<string>"
+    return spark.createDataFrame(anchor_rows(templates, least), schema)
 
 
 def scan(docs: DataFrame, templates: tuple = TEMPLATES, least: float = LEAST) -> DataFrame:
     """Licences that whole texts (doc_id, text) state.
 
-    A row a document and licence: doc_id, license, dice (of its best unit), template
-    (that unit's), n_units (distinct units that match). Units are a text's lines, its
-    paragraphs (between blank lines) and the text.
+    A row a document and licence: doc_id, license, dice (of its best window), template
+    (that window's), n_units (different bigram sets of windows that count).
 
-    Null texts and texts of fewer than two words match nothing and give no row. Licences may differ in
-    a word, so a unit that reaches ``least`` with several templates counts for the best of them alone,
-    or for all that tie; within a licence, ties go to the smaller template number. Repeated doc_ids (null ones too) are reported
-    together, an empty table gives no rows, other columns are ignored.
+    A window has the length of a template, and lies so that one of the template's anchors is in its
+    place; parts before or behind the text are left out. It matches with a coefficient of ``least`` or
+    more. Licences may differ in a word, so a window counts only if none that shares a word with it has a higher
+    coefficient; of those that tie, all count. Within a licence, ties go to the smaller template number.
+
+    Null texts and texts of fewer than two words match nothing and give no row. Repeated doc_ids (null ones too) are
+    reported together, an empty table gives no rows, other columns are ignored.
     """
-    known = template_table(docs.sparkSession, templates)
-    size = F.size("_tb")
-    bounds = F.sequence(
-        F.ceil(size * F.lit(least / (2 - least)) - F.lit(1e-9)).cast("int"),
-        F.floor(size * F.lit((2 - least) / least) + F.lit(1e-9)).cast("int"),
-    )
-    by_size = known.select("template", "license", "_tb", F.explode(bounds).alias("_size"))
-    lines = F.split("text", "\n")
-    paragraphs = F.split("text", r"\n[ \t\r]*\n")
-    units = F.array_distinct(
-        F.concat(lines, F.when(F.size(lines) > 1, paragraphs).otherwise(F.array()), F.when(F.size(paragraphs) > 1, F.array("text")).otherwise(F.array()))
+    worded = docs.filter(F.col("text").isNotNull()).select(
+        "doc_id", F.xxhash64("text").alias("_text"), F.split(normalised(F.col("text")), " ").alias("_w")
     )
-    found = (
-        docs.filter(F.col("text").isNotNull())
-        .select("doc_id", F.explode(unit_bigrams(units)).alias("_b"))
-        .withColumn("_size", F.size("_b"))
-        .join(F.broadcast(by_size), "_size")  # the fixed templates times the sizes within their bounds
-        .withColumn("dice", F.lit(2.0) * F.size(F.array_intersect("_b", "_tb")) / (F.col("_size") + F.size("_tb")))
+    known = F.broadcast(anchor_table(docs.sparkSession, templates, least))  # the fixed templates' anchors
+    start = F.col("_at") - F.col("_place")
+    first = F.greatest(start, F.lit(0))
+    length = F.least(start + F.col("_words"), F.size("_w")) - first
+    size = F.size("_b") + F.size("_tb")
+    document, window = ["doc_id", "_text"], ["template", "license", "_first", "_length", "dice", "_unit"]
+    matched = (
+        worded.select(*document, "_w", F.posexplode(pairs(F.col("_w"))).alias("_at", "_pair"))
+        .join(known, "_pair")
+        .select(*document, "template", "license", "_tb", "_w", first.alias("_first"), length.alias("_length"))
+        .filter(2 * F.least(F.col("_length") - 1, F.size("_tb")) >= (least - 1e-9) * F.size("_tb"))
+        .withColumn("_window", F.slice("_w", F.col("_first") + 1, F.col("_length")))
+        .withColumn("_b", F.array_distinct(pairs(F.col("_window"))))
+        .withColumn("dice", F.lit(2.0) * F.size(F.array_intersect("_b", "_tb")) / size)
         .filter(F.col("dice") >= least)
         .withColumn("_unit", F.xxhash64(F.array_sort("_b")))
-        .withColumn("_most", F.max("dice").over(Window.partitionBy("doc_id", "_unit")))
-        .filter(F.col("dice") == F.col("_most"))
+        .select(*document, *window)
+        .distinct()
     )
+    places = matched.withColumn("_place", F.explode(F.sequence("_first", F.col("_first") + F.col("_length") - 1)))
+    most = F.max("dice").over(Window.partitionBy(*document, "_place"))
+    counts = places.withColumn("_best", F.col("dice") == most).groupBy(*document, *window).agg(F.bool_and("_best").alias("_best"))
     best = F.max(F.struct("dice", (-F.col("template")).alias("_t")))
     return (
-        found.groupBy("doc_id", "license")
+        counts.filter("_best")
+        .groupBy("doc_id", "license")
         .agg(best.alias("_best"), F.count_distinct("_unit").alias("n_units"))
         .select("doc_id", "license", "_best.dice", (-F.col("_best._t")).alias("template"), "n_units")
     )
-

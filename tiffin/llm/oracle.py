@@ -92,25 +92,38 @@ def _licences() -> str:
         "({}, '{}', '{}')".format(i, name, text.replace("'", "''")) for i, (name, text) in enumerate(TEMPLATES)
     )
     clean = f"trim(regexp_replace(translate({{}}, '{UPPER}', '{LOWER}'), '[^a-z0-9]+', ' ', 'g'))"
-    pairs = "list_distinct(list_transform(range(1, len({0})), lambda i: {0}[i] || ' ' || {0}[i + 1]))"
+    pairs = "list_transform(range(1, len({0})), lambda i: {0}[i] || ' ' || {0}[i + 1])"
     return f"""
 with templates(template, license, t) as (values
         {rows}),
-known as (select template, license, {pairs.format("w")} as tb from (select *, string_split({clean.format("t")}, ' ') as w from templates)),
-texts as (
-    select doc_id, text, string_split(text, chr(10)) as ls, regexp_split_to_array(text, '\\n[ \\t\\r]*\\n') as ps
-    from documents where text is not null
-), units as (
-    select doc_id, unnest(list_distinct(ls || case when len(ls) > 1 then ps else [] end || case when len(ps) > 1 then [text] else [] end)) as unit
-    from texts
-), worded as (select doc_id, string_split({clean.format("unit")}, ' ') as w from units),
-paired as (select doc_id, {pairs.format("w")} as b from worded where len(w) > 1),
-scored as (
-    select doc_id, license, template, list_sort(b) as b, 2.0::double * len(list_intersect(b, tb)) / (len(b) + len(tb)) as dice
-    from paired join known on 2.0 * least(len(b), len(tb)) / (len(b) + len(tb)) >= {LEAST}::double - 1e-9
-), best as (
+known as (
+    select template, license, w, list_distinct({pairs.format("w")}) as tb
+    from (select *, string_split({clean.format("t")}, ' ') as w from templates)
+), places as (
+    select template, license, len(w) as nw, tb, unnest({pairs.format("w")}) as pair, unnest(range(len(w) - 1)) as place from known
+), held as (
+    select template, license, nw, tb, pair, min(place) as place, count(*) over (partition by pair) as holders
+    from places group by template, license, nw, tb, pair
+), anchors as (
+    select * from held
+    qualify row_number() over (partition by template order by holders, length(pair) desc, pair) <= len(tb) // 3 + 1
+), texts as (
+    select distinct doc_id, text, string_split({clean.format("text")}, ' ') as w from documents where text is not null
+), hits as (
+    select doc_id, text, w, unnest({pairs.format("w")}) as pair, unnest(range(len(w) - 1)) as spot from texts
+), windows as (
+    select distinct doc_id, text, template, license, tb, greatest(spot - place, 0) as lo, least(spot - place + nw, len(w)) as hi,
+        w[greatest(spot - place, 0) + 1:least(spot - place + nw, len(w))] as part
+    from hits join anchors using (pair)
+), scored as (
+    select * exclude (part, b), list_sort(b) as b, 2.0::double * len(list_intersect(b, tb)) / (len(b) + len(tb)) as dice
+    from (select *, list_distinct({pairs.format("part")}) as b from windows)
+), matched as (
     select * from scored where dice >= {LEAST}::double
-    qualify dice = max(dice) over (partition by doc_id, array_to_string(b, '|'))
+), best as (
+    select * from matched m where not exists (
+        select 1 from matched o
+        where o.doc_id is not distinct from m.doc_id and o.text = m.text and o.lo < m.hi and m.lo < o.hi and o.dice > m.dice)
 )
 select doc_id, license, max(dice) as dice, arg_max(template, dice * 1000 - template)::int as template, count(distinct b) as n_units
 from best
