@@ -694,6 +694,7 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "op_funnel_rollup": _cols("funnel_rollup", "*"),
     "op_checkout_counts": _cols("checkouts", "*"),
+    "op_checkout_counts_of_days": _cols("checkouts", "*"),
     "op_channel_order_agg": _cols("channel_orders", "*"),
     "op_channel_ratios": _cols(
         "fact_channel_performance",
@@ -719,6 +720,8 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "op_delivery_metrics": _cols("fact_delivery", FD_METRICS),
     "op_restaurant_stats": _cols("restaurant_stats", "*"),
+    "op_restaurant_customers_of_days": _cols("restaurant_stats", "restaurant_id, unique_customers"),
+    "op_courier_customers_of_days": _cols("courier_stats", "courier_id, unique_customers_served"),
     "op_courier_stats": _cols("courier_stats", "*"),
     "op_courier_vs_tier": _cols("dim_couriers", "courier_id, courier_tier, sla_breach_rate, performance_vs_tier"),
     # checks

@@ -8,6 +8,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tiffin.operators.distinct import day_state, merged_counts
 from tiffin.functions.semantics import count_true, safe_divide
 
 # event/page names per funnel stage, and the stage order.
@@ -144,6 +145,16 @@ def op_checkout_counts(events: DataFrame) -> DataFrame:
     )
 
 
+def checkout_days(events: DataFrame) -> DataFrame:
+    """Sessions with a CHECKOUT event as mergeable state per (event_date, channel, campaign, voucher)."""
+    return day_state(events.filter(F.col("funnel_stage") == "CHECKOUT"), "event_date", _channel_keys(), "session_id")
+
+
+def checkout_counts_of(days: DataFrame) -> DataFrame:
+    """:func:`op_checkout_counts` over the days whose state ``days`` holds."""
+    return merged_counts(days, CHANNEL_KEYS, "checkout_sessions")
+
+
 def first_orders(orders: DataFrame) -> DataFrame:
     """Customers whose first order (by placed_at, order_id; null customers are one) came by each (channel, campaign, voucher).
 

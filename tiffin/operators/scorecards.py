@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tiffin.operators.distinct import day_state
 from tiffin.functions.semantics import count_true, safe_divide
 from tiffin.operators.orders import sla_threshold
 
@@ -47,6 +48,16 @@ def op_restaurant_stats(orders: DataFrame) -> DataFrame:
     )
 
 
+def restaurant_customer_days(orders: DataFrame) -> DataFrame:
+    """A restaurant's customers as mergeable state per order_date."""
+    return day_state(orders, "order_date", ["restaurant_id"], "customer_id")
+
+
+def courier_customer_days(orders: DataFrame) -> DataFrame:
+    """A courier's customers as mergeable state per order_date."""
+    return day_state(orders, "order_date", ["courier_id"], "customer_id")
+
+
 def op_courier_stats(orders: DataFrame) -> DataFrame:
     """Per courier, all statuses; total_orders is a distinct order count.
 

@@ -20,7 +20,16 @@ from tiffin.operators import checks as ck
 from tiffin.plans import marts as mt
 from tiffin.plans import staging as st
 from tiffin.sources.fixtures import RawSources
-from tiffin.sources.sinks import MART_LAYOUT, SCHEMA, overwrite_days, register_view, write_named_table, write_table
+from tiffin.sources.sinks import (
+    MART_LAYOUT,
+    SCHEMA,
+    Z_ORDERED,
+    overwrite_days,
+    register_view,
+    write_named_table,
+    write_table,
+    z_cuts,
+)
 from tiffin.sources.tables import SourceTables
 
 
@@ -184,7 +193,9 @@ def build(
         seen = Observation(name)
         if name in MART_LAYOUT:
             df = df.observe(seen, *ck.key_metrics(ck.MART_NOT_NULL_KEYS[name]))
-            paths[name] = write_named_table(df, f"{schema}.{name}", paths[name], *MART_LAYOUT[name])
+            # the cuts come from the stored orders, so the mart isn't computed twice
+            cuts = z_cuts(models.stg_orders(), MART_LAYOUT[name][1]) if name in Z_ORDERED else None
+            paths[name] = write_named_table(df, f"{schema}.{name}", paths[name], *MART_LAYOUT[name], cuts=cuts)
         else:
             own = ck.sla_metrics() if name == "stg_orders" else []
             write_table(df.observe(seen, *ck.key_metrics(["customer_id"]), *own), paths[name])
