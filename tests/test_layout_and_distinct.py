@@ -115,3 +115,31 @@ def test_late_events_rebuild_the_state_of_their_day(spark, tmp_path):
     assert not same(fn.checkout_counts_of(spark.read.parquet(path)), fn.op_checkout_counts(events))
     sinks.overwrite_days(fn.checkout_days(events.filter(F.col("event_date") == late_day)), path, "event_date")
     assert same(fn.checkout_counts_of(spark.read.parquet(path)), fn.op_checkout_counts(events))
+
+
+def state_of_strewn_ids(spark):
+    """Couriers' and restaurants' state of 4,000 orders, hardly two of them of one party and day, by customers far apart."""
+    from tiffin.operators import scorecards as sc
+
+    k = F.col("id")
+    day = F.date_add(F.lit(date(2024, 1, 1)), (k % 40).cast("int"))
+    orders = spark.range(4000).select(day.alias("order_date"), (k % 501).alias("courier_id"), (k % 1999).alias("restaurant_id"), (k * 7919 % 900_001).alias("customer_id"))
+    return orders, sc.courier_customer_days(orders), sc.restaurant_customer_days(orders)
+
+
+def sizes(state):
+    """Bytes of the widest and of all rows of a state, from what Spark's own row format takes (8 bytes a value, and what has no fixed width)."""
+    width = [F.length(c) if kind == "binary" else F.lit(8) for c, kind in state.dtypes]
+    return state.select(sum(width).alias("w")).agg(F.max("w"), F.sum("w")).first()
+
+
+def test_couriers_state_is_as_large_as_its_ids(spark):
+    orders, couriers, _ = state_of_strewn_ids(spark)
+    widest, total = sizes(couriers)
+    assert widest <= 64 and total <= 64 * orders.count()
+    want = orders.groupBy("courier_id").agg(F.count_distinct("customer_id").alias("n"))
+    merged = ds.merged_counts(couriers, ["courier_id"], "n")
+    assert same(merged, want)
+    # longs alone, in hash aggregates: a sort of every group's bitmap filled a task's memory
+    assert "SortAggregate" not in merged._jdf.queryExecution().executedPlan().toString()
+    assert merged._jdf.queryExecution().executedPlan().toString().count("HashAggregate") >= 4
