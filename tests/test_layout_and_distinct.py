@@ -143,3 +143,13 @@ def test_couriers_state_is_as_large_as_its_ids(spark):
     # longs alone, in hash aggregates: a sort of every group's bitmap filled a task's memory
     assert "SortAggregate" not in merged._jdf.queryExecution().executedPlan().toString()
     assert merged._jdf.queryExecution().executedPlan().toString().count("HashAggregate") >= 4
+
+
+def test_restaurants_state_is_as_large_as_its_ids(spark):
+    orders, _, restaurants = state_of_strewn_ids(spark)
+    widest, total = sizes(restaurants)
+    assert widest <= 64 and total <= 64 * orders.count()
+    merged = ds.merged_counts(restaurants, ["restaurant_id"], "n")
+    assert same(merged, orders.groupBy("restaurant_id").agg(F.count_distinct("customer_id").alias("n")))
+    dense = ds.day_state(orders.withColumn("customer_id", F.col("customer_id") % 640), "order_date", [], "customer_id")
+    assert dense.count() <= 40 * 10  # ids in sequence share bitmaps
