@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tiffin.llm import jaccard
 
@@ -137,3 +138,76 @@ def test_a_cell_counts_by_fragment_and_connects():
             return groups
 
         assert connected(tree) == connected(zip(*map(lambda v: v.tolist(), np.nonzero(links)), strict=True))
+
+
+@pytest.mark.parametrize("percent", [30, 80, 95])
+def test_sets_that_link_share_enough_of_their_first_grams(spark, percent):
+    rng, gen = random.Random(percent), np.random.default_rng(percent)
+    pool = np.unique(gen.integers(0, 2**63, 4000).astype(np.uint64))
+    known = np.sort(gen.choice(pool, 300, replace=False))
+    cases = []
+    for _ in range(400):
+        union = gen.choice(pool, rng.choice([1, 2, 5, 9, 60, 400, 900]), replace=False)
+        n = -(-len(union) * percent // 100)  # the fewest that link; what is left is dealt to either side
+        cut = rng.choice([n, len(union), rng.randint(n, len(union))])
+        sets = {1: np.sort(np.concatenate([union[:n], union[n:cut]])), 2: np.sort(np.concatenate([union[:n], union[cut:]]))}
+        firsts = jaccard.first_grams(sets, known, percent)
+        assert all(np.isin(firsts[k], sets[k]).all() and len(firsts[k]) == len(np.unique(firsts[k])) for k in sets)
+        cases += [(len(s), len(np.intersect1d(firsts[1], firsts[2]))) for s in sets.values()]
+    df = spark.createDataFrame(cases, "n long, met long").withColumn("least", jaccard.least_shared(F.col("n"), percent))
+    assert df.filter("met < least").count() == 0 and df.filter("least > 5").count() > 0
+
+
+def test_bitmap_holds_all_keys_and_few_others(spark, monkeypatch):
+    keys = np.random.default_rng(3).integers(-(2**63), 2**63, 6000)
+    df = spark.createDataFrame([(int(k),) for k in keys[:3000]], "key long")
+    bitmap = jaccard._bitmap(df, 3000)
+    assert jaccard.held_in(bitmap, keys[:3000]).all() and jaccard.held_in(bitmap, keys[3000:]).mean() < 0.1
+    assert not jaccard.held_in(jaccard._bitmap(df.limit(0), 0), keys).any()
+    monkeypatch.setattr(jaccard, "MOST_BITS", jaccard._ROW)  # a full bitmap lets more through and misses none
+    bitmap = jaccard._bitmap(df, 3000)
+    assert len(bitmap) == jaccard._ROW // 8 and jaccard.held_in(bitmap, keys[:3000]).all()
+
+
+def test_a_full_bitmap_changes_no_link(spark, monkeypatch):
+    docs = [(i, " ".join(f"w{(i // 3) * 40 + j}" for j in range(30)) + f" x{i % 3}" * (i % 2)) for i in range(90)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = rows(jaccard.join(df))
+    assert want == plain_join(docs)
+    monkeypatch.setattr(jaccard, "_bitmap", lambda keys, n: np.full(4096, 255, np.uint8))
+    assert rows(jaccard.join(df)) == want
+
+
+WRITTEN = """
+import glob, json, sys
+from pyspark.sql import functions as F
+from pyspark.sql import functions as F
+
+from tiffin.llm import jaccard
+from tiffin.llm.common import ship_package
+from tiffin.session import local_session
+at = sys.argv[1]
+log = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{at}", "spark.eventLog.rolling.enabled": "false", "spark.eventLog.compress": "false"}
+spark = local_session(4, 8, extra={**log, "spark.checkpoint.dir": f"file://{at}/scratch", "spark.local.dir": f"{at}/local"})
+ship_package(spark)
+word = lambda w: F.concat(F.lit("w"), F.pmod(F.xxhash64("id", w), F.lit(50_000)).cast("string"))
+docs = spark.range(0, 4000, 1, 4).select(F.col("id").alias("doc_id"), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(399)), word), " ").alias("text"))
+out = jaccard.join(docs).agg(F.sum("n_shingles").alias("n"), F.sum("n_links").alias("links")).first()
+spark.stop()
+events = [json.loads(x) for f in glob.glob(f"{at}/*") if f.rsplit("/", 1)[1].startswith(("local-", "app-")) for x in open(f)]
+ends = [e["Task Metrics"]["Shuffle Write Metrics"]["Shuffle Bytes Written"] for e in events if e["Event"] == "SparkListenerTaskEnd" and e.get("Task Metrics")]
+print("written", out.n, out.links, sum(ends))
+"""
+
+
+def test_texts_without_a_partner_are_not_dealt_out_whole(tmp_path):
+    """Of sets that link with nothing, only the first n-grams are shuffled: whole sets took 7 bytes an n-gram."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[2]
+    out = subprocess.run([sys.executable, "-c", WRITTEN, str(tmp_path)], capture_output=True, text=True, check=True, timeout=300, cwd=root)
+    n, links, written = map(int, out.stdout.split("written")[-1].split())
+    assert n > 1_500_000 and links == 0
+    assert 0 < written < 4 * n

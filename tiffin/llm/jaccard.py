@@ -4,7 +4,14 @@ A text's set holds its distinct word shingles as 64-bit hashes. Two sets link wh
 the size of their intersection is at least ``percent`` hundredths of their union's.
 Documents with equal sets are one class, and all work is on classes.
 
-Global order: n-grams by the number of classes that hold them (df), then by hash. An
+Most classes go before their sets are dealt out whole. In any order of all n-grams, two sets that link have t in
+common among the first size - least overlap + t n-grams of each. So these go first, in the order of their hashes
+with frequent n-grams last, where t is a tenth of the least overlap; a class that has fewer of them in common with
+other classes than the t of its smallest possible partner has none. A bitmap of the classes left, of
+bounded size, tells the tasks which sets to deal out; one that it lets through by chance costs its
+shuffling alone. All that follows is about the classes left.
+
+Global order: n-grams by the number of classes that hold them (df), then by bucket and hash. An
 n-gram of one class alone can link nothing, so only its number matters: a class with
 more of them than its prefix (size - least overlap + 1 of its rarest n-grams) has no
 partner and goes at once. What is left is cut along the global order:
@@ -26,7 +33,7 @@ class has, never its pairs. Links join classes to components (simhash.components
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +54,15 @@ PER_DOCUMENTS = 1000
 LEAST_FREQUENT = 1024
 #: Classes in a block of a hot n-gram's classes; a cell holds two blocks.
 BLOCK = 512
+#: Of a class's least overlap, one n-gram in so many is what the first round asks for.
+SHARE = 10
+#: Bits a class in the bitmap of classes that may have a partner, and the most it has in all (16 MB).
+BITS_A_CLASS = 32
+MOST_BITS = 1 << 27
+#: Bits in a row of the bitmap.
+_ROW = 1 << 15
+
+Sets = dict[int, np.ndarray]
 
 
 _WORDS = byte_values(WHITE_BYTES)
@@ -119,8 +135,60 @@ def _frequent(sized: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
     return grams[order], counts[order]
 
 
-def _shared(docs: DataFrame, size: int, buckets: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(key, df, gram) of every class and n-gram that another class holds too.
+def first_grams(sets: Sets, known: np.ndarray, percent: int) -> Sets:
+    """Of each set, the n-grams of which it shares some (``least_shared``) with any set it links to: its first by hash, those in ``known`` last."""
+    grams = np.concatenate([np.zeros(0, np.uint64), *sets.values()])
+    held = np.array([len(s) for s in sets.values()], dtype=np.int64)
+    row = np.repeat(np.arange(len(held)), held)
+    often = known[np.minimum(np.searchsorted(known, grams), len(known) - 1)] == grams if len(known) else np.zeros(len(grams), bool)
+    grams = grams[np.argsort(row * 2 + often, kind="stable")]
+    starts, least = np.cumsum(held) - held, -(-held * percent // 100)
+    some = np.minimum(held, held - least + np.maximum(1, least // SHARE))
+    return {k: grams[a : a + n] for k, a, n in zip(sets, starts.tolist(), some.tolist(), strict=True)}
+
+
+def least_shared(n: Column, percent: int) -> Column:
+    """How many of its ``first_grams`` a set of ``n`` shares with a set it links to, at least: as many as count for its smallest partner."""
+    smallest = least_overlap(n, percent)
+    return F.greatest(F.lit(1).cast("long"), F.floor(least_overlap(smallest, percent) / SHARE))
+
+
+def _bitmap(keys: DataFrame, n: int) -> np.ndarray:
+    """Bytes of a bitmap in which the bits of ``keys``, ``n`` of them, are set; keys are hashes, so their last bits place them."""
+    bits = min(MOST_BITS, max(_ROW, 1 << (BITS_A_CLASS * n).bit_length()))
+    at = F.col("key").bitwiseAND(F.lit(bits - 1))
+    placed = keys.select(F.shiftright(at, 15).alias("row"), at.bitwiseAND(F.lit(_ROW - 1)).alias("at")).repartition("row")
+    found = np.zeros((bits // _ROW, _ROW // 8), dtype=np.uint8)
+    for r in placed.groupBy("row").agg(F.bitmap_construct_agg("at").alias("bits")).collect():
+        found[r.row] = np.frombuffer(r.bits, np.uint8)
+    return found.reshape(-1)
+
+
+def held_in(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which ``keys`` have their bit set in a bitmap."""
+    at = keys & np.int64(len(bitmap) * 8 - 1)
+    return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def _partnered(docs: DataFrame, classes: DataFrame, size: int, percent: int, buckets: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """Rows of ``classes`` that share enough of their first n-grams with others: all that link, and few more."""
+    known = frequent[0]
+    met = _shared(docs, size, buckets, frequent, lambda sets: first_grams(sets, known, percent))
+    met = met.groupBy("key").agg(F.sum(F.size("gram")).alias("met"))
+    return classes.join(met, "key").filter(F.col("met") >= least_shared(F.col("n"), percent)).drop("met")
+
+
+def _let_through(bitmap: np.ndarray) -> Callable[[Sets], Sets]:
+    def chosen(sets: Sets) -> Sets:
+        kept = held_in(bitmap, np.fromiter(sets, dtype=np.int64, count=len(sets)))
+        return {k: s for (k, s), here in zip(sets.items(), kept.tolist(), strict=True) if here}
+
+    return chosen
+
+
+def _shared(docs: DataFrame, size: int, buckets: int, frequent: tuple[np.ndarray, np.ndarray], chosen: Callable[[Sets], Sets]) -> DataFrame:
+    """Of what ``chosen`` leaves of the sets, each class's n-grams that another class holds too: key, df and gram, arrays
+    side by side, a row for each bucket. A gram is the n-gram's number, by bucket, so that it has few bytes that aren't zero.
 
     Sets go to the buckets in packed rows, a class once for each few megabytes of text; a
     bucket's task drops the copies that are left and counts classes by n-gram.
@@ -131,12 +199,13 @@ def _shared(docs: DataFrame, size: int, buckets: int, frequent: tuple[np.ndarray
         for batch in batches:
             texts = batch.column("text")
             for a, b in text_slices(texts):
-                sets: dict[int, np.ndarray] = {}
+                sets: Sets = {}
                 for own in shingle_sets(texts.slice(a, b - a), size):
                     sets.setdefault(_key(own), own)
-                yield dealt(sets)
+                if sets := chosen(sets):
+                    yield dealt(sets)
 
-    def dealt(sets: dict[int, np.ndarray]) -> pa.RecordBatch:
+    def dealt(sets: Sets) -> pa.RecordBatch:
         grams = np.concatenate(list(sets.values()))
         keys = np.fromiter(sets, dtype=np.int64, count=len(sets))
         row = np.repeat(np.arange(len(keys)), [len(s) for s in sets.values()])
@@ -170,14 +239,19 @@ def _shared(docs: DataFrame, size: int, buckets: int, frequent: tuple[np.ndarray
         first = np.append(True, (rest[1:] != rest[:-1]) | (keys[1:] != keys[:-1]))
         keys, rest = keys[first], rest[first]
         if bucket >= buckets:
-            df, gram = totals[rest.astype(np.int64)], rest | np.uint64(_FREQUENT)
+            df, gram = totals[rest.astype(np.int64)], rest.astype(np.int64) | _FREQUENT
         else:
             change = np.flatnonzero(np.append(True, rest[1:] != rest[:-1]))
             runs = np.diff(np.append(change, len(rest)))
-            df = np.repeat(runs, runs)
-            gram = (rest * np.uint64(buckets) + np.uint64(bucket)) & np.uint64(_FREQUENT - 1)
+            number = np.cumsum(runs > 1) - 1  # n-grams of more than one class, in the order of their hashes
+            df, gram = np.repeat(runs, runs), np.repeat(number * buckets + bucket, runs)
             keys, df, gram = keys[df > 1], df[df > 1], gram[df > 1]
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(df), pa.array(gram.astype(np.int64))], names=["key", "df", "gram"])
+        order = np.lexsort((gram, df, keys))
+        keys, df, gram = keys[order], df[order].astype(np.int64), gram[order]
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+        ends = pa.array(np.append(starts, len(keys)).astype(np.int32))
+        lists = [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (df, gram)]
+        return pa.RecordBatch.from_arrays([pa.array(keys[starts]), *lists], names=["key", "df", "gram"])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, parts = None, []
@@ -192,7 +266,7 @@ def _shared(docs: DataFrame, size: int, buckets: int, frequent: tuple[np.ndarray
             yield count(now, parts)
 
     packed = docs.select("text").mapInArrow(pack, "bucket long, keys binary, sizes binary, low binary, high binary")
-    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(counted, "key long, df long, gram long")
+    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(counted, "key long, df array<long>, gram array<long>")
 
 
 def least_overlap(n: Column, percent: int) -> Column:
@@ -210,15 +284,17 @@ def _alive(shared: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
     ``prefix`` is how many of ``grams`` are in the class's prefix, after those of its own alone.
     """
-    held = shared.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("grams"))
+    rows = shared.groupBy("key").agg(F.collect_list(F.struct("df", "gram")).alias("_rows"))
+    grams = F.sort_array(F.flatten(F.transform("_rows", lambda r: F.arrays_zip(r["df"].alias("df"), r["gram"].alias("gram")))))
+    held = rows.select("key", grams.alias("grams"))
     alone = F.col("n") - F.size("grams")
     prefix = F.col("n") - least_overlap(F.col("n"), percent) + 1 - alone
     return held.join(classes, "key").withColumn("prefix", prefix).filter("prefix > 0")
 
 
 def _place(x: Column) -> Column:
-    """Where an n-gram (struct df, gram) stands in the global order, as a double."""
-    return x["df"] + x["gram"] / F.lit(float(1 << 63))
+    """Where an n-gram (struct df, gram) stands in the global order, as a double: its number, however large, becomes a fraction."""
+    return x["df"] + x["gram"] / (x["gram"] + F.lit(float(1 << 24)))
 
 
 def _fragment(cuts: list[float], x: Column) -> Column:
@@ -227,7 +303,7 @@ def _fragment(cuts: list[float], x: Column) -> Column:
 
 
 def _cuts(alive: DataFrame, fragments: int) -> list[float]:
-    """Where the global order is cut, so that each fragment gets about the same number of entries: quantiles of (df, hash)."""
+    """Where the global order is cut, so that each fragment gets about the same number of entries: quantiles of (df, number)."""
     each = alive.select(F.explode("grams").alias("g"))
     shares = [i / fragments for i in range(1, fragments)]
     found = each.agg(F.percentile_approx(_place(F.col("g")), shares, 1000)).first()[0] if shares else None
@@ -253,11 +329,12 @@ def _candidates(prefixes: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("akey").alias("a"), F.col("bkey").alias("b"), "need")
 
 
-def _counted_links(pairs: DataFrame, segments: DataFrame) -> DataFrame:
+def _counted_links(pairs: DataFrame, segments: DataFrame, fragments: int) -> DataFrame:
     """Pairs whose partial overlaps, counted in each fragment apart and summed by pair, reach ``need``."""
     left = segments.select(F.col("key").alias("a"), "fragment", F.col("segment").alias("left"))
     right = segments.select(F.col("key").alias("b"), "fragment", F.col("segment").alias("right"))
-    partial = pairs.join(left, "a").join(right, ["b", "fragment"])
+    each = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(fragments - 1))))  # meets the segments where they are
+    partial = each.join(left, ["a", "fragment"]).join(right, ["b", "fragment"])
     partial = partial.select("a", "b", "need", F.size(F.array_intersect("left", "right")).alias("n"))
     whole = partial.groupBy("a", "b").agg(F.sum("n").alias("n"), F.any_value("need").alias("need"))
     return whole.filter(F.col("n") >= F.col("need")).select("a", "b")
@@ -434,8 +511,12 @@ def join(
     )
     n_classes, n_grams = classes.filter("n > 0").agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("n") * F.col("copies")), F.lit(0))).first()
     frequent = _frequent(sized, max(least_frequent, n_classes // PER_DOCUMENTS))
-    shared = _shared(docs, size, max(48, n_grams // bucket_grams), frequent)
-    alive = stored(_alive(shared, classes.select("key", "n", "copies"), percent), "alive")
+    n_first = n_grams * (100 - percent) // 100 + n_grams * percent // (100 * SHARE) + n_classes
+    left = classes.filter("n > 0").select("key", "n", "copies")
+    left = stored(_partnered(docs, left, size, percent, max(48, n_first // bucket_grams), frequent), "partnered")
+    n_left, n_grams = left.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("n") * F.col("copies")), F.lit(0))).first()
+    shared = _shared(docs, size, max(48, n_grams // bucket_grams), frequent, _let_through(_bitmap(left, n_left)))
+    alive = stored(_alive(shared, left, percent), "alive")
     cuts = _cuts(alive, fragments)
     placed = alive.withColumn("at", F.transform("grams", lambda x: _fragment(cuts, x)))
 
@@ -451,7 +532,7 @@ def join(
 
     segments = placed.select("key", F.explode(F.arrays_zip(F.transform("grams", lambda x: x["gram"]).alias("gram"), "at")).alias("_s"))
     segments = segments.groupBy("key", F.col("_s.at").alias("fragment")).agg(F.collect_list("_s.gram").alias("segment"))
-    cold = stored(_counted_links(_candidates(prefixes, hot, percent), segments), "links")
+    cold = stored(_counted_links(_candidates(prefixes, hot, percent), segments, len(cuts) + 1), "links")
     found = cold.select("a", "b", F.lit(None).cast("long").alias("n"))
     if not prefixes.filter("hot").isEmpty():
         found = found.union(stored(_hot_links(placed, prefixes, percent, block), "hot_links"))
